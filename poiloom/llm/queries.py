@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from poiloom.llm import mixing, packing
+from poiloom.llm import mixing, packing, quality
 
 
 def tokenizer_path() -> str:
@@ -27,8 +27,12 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_words(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_best_fit_packing, op3_source_mixing)
+    own = (op1_best_fit_packing, op3_source_mixing, op7_quality_rules)
     return {f.__name__: f for f in own}
 
 
