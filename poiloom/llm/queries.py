@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from poiloom.llm import mixing, packing, quality
+from poiloom.llm import mixing, packing, quality, secrets
 
 
 def tokenizer_path() -> str:
@@ -23,6 +23,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_words(table(spark, sf_dir, "documents"))
 
@@ -32,7 +36,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_best_fit_packing, op3_source_mixing, op7_quality_rules)
+    own = (op1_best_fit_packing, op2_secret_scan, op3_source_mixing, op7_quality_rules)
     return {f.__name__: f for f in own}
 
 
