@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from poiloom.llm import mixing, packing, quality, secrets
+from poiloom.llm import html_text, mixing, packing, quality, secrets, warc
 
 
 def tokenizer_path() -> str:
@@ -31,12 +31,20 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_words(table(spark, sf_dir, "documents"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_best_fit_packing, op2_secret_scan, op3_source_mixing, op7_quality_rules)
+    own = (op1_best_fit_packing, op2_secret_scan, op3_source_mixing, op6_html_extraction, op7_quality_rules, op8_warc_packages)
     return {f.__name__: f for f in own}
 
 
