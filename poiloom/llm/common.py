@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows per row of a Python worker's input batch; texts may be long.
 ARROW_ROWS = 512
+ARROW_BYTES = "16m"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: A driver-made lookup of at most so many rows is broadcast, a larger one is joined by shuffle.
 BROADCAST_ROWS = 200_000
 
@@ -36,9 +38,16 @@ def new_path(spark: SparkSession, what: str) -> str:
 
 def stored(df: DataFrame, what: str) -> DataFrame:
     """df written to the shared folder and read again: later plans start there, whatever executors are lost."""
-    path = new_path(df.sparkSession, what)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = new_path(spark, what)
+    # its shuffles are of no use once the table is there
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -48,8 +57,9 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bounds what one Arrow batch holds, by rows."""
+    """Bounds what one Arrow batch holds, by rows and bytes."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -31,21 +31,21 @@ def hashes(words: Iterable[bytes]) -> np.ndarray:
 
 
 def windows(h: np.ndarray, width: int) -> np.ndarray:
-    """A hash for each run of width consecutive entries of h; it depends on their order."""
-    n = len(h) - width + 1
+    """A hash for each run of width consecutive entries of h, along its last axis; it depends on their order."""
+    n = h.shape[-1] - width + 1
     if n <= 0:
-        return np.zeros(0, dtype=np.uint64)
+        return np.zeros((*h.shape[:-1], 0), dtype=np.uint64)
     # doubling: w[k] covers 2**k entries; the runs of the width's binary digits are put together
     done, at, found, step = 0, h, None, 1
     left = width
     while left:
         if left & 1:
-            part = at[done : done + n]
+            part = at[..., done : done + n]
             found = part.copy() if found is None else mixed(found * ODD + part)
             done += step
         left >>= 1
         if left:
-            at = mixed(at[: len(at) - step] * ODD + at[step:])
+            at = mixed(at[..., : at.shape[-1] - step] * ODD + at[..., step:])
             step *= 2
     return mixed(found)
 
