@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from poiloom.llm import html_text, mixing, packing, quality, secrets, substrings, suffixes, warc
+from poiloom.llm import html_text, mixing, near_dups, packing, quality, secrets, substrings, suffixes, warc
 
 
 def tokenizer_path() -> str:
@@ -31,6 +31,10 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_words(table(spark, sf_dir, "documents"))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_classes(table(spark, sf_dir, "documents"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -52,7 +56,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_best_fit_packing, op2_secret_scan, op3_source_mixing, op5_substring_dedup, op6_html_extraction, op7_quality_rules, op8_warc_packages, op10_suffix_dedup)
+    own = (op1_best_fit_packing, op2_secret_scan, op3_source_mixing, op4_near_dedup, op5_substring_dedup, op6_html_extraction, op7_quality_rules, op8_warc_packages, op10_suffix_dedup)
     return {f.__name__: f for f in own}
 
 
