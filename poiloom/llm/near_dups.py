@@ -39,6 +39,8 @@ WIDTH, ALIKE = 5, 0.8
 #: 1 - (1 - 0.8 ** ROWS) ** BANDS: one pair of 20,000 with similarity 0.8 shares no band.
 BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
+#: Bits of a run's name that make room for the document's number within a batch.
+DOC_BITS = 16
 #: Points are first made for so many times the time in which half the registers' last one is filled.
 SPARE = 3.0
 #: Bits of the fixed-size filter that keeps unneeded texts out of the verification's shuffle.
@@ -56,7 +58,9 @@ def bags(lists: list[list[bytes]], width: int = WIDTH) -> tuple[np.ndarray, np.n
     for i in np.flatnonzero((n > 0) & (n < width)):
         runs = np.append(runs, W.windows(h[begin[i] : begin[i + 1]], int(n[i])))
         of = np.append(of, i)
-    bits = max(1, int(len(n)).bit_length())
+    bits = DOC_BITS  # fixed: a run's name must not depend on the batch
+    if len(n) > 1 << bits:
+        raise ValueError(f"more than {1 << bits} documents at once")
     keys = np.sort((of.astype(np.uint64) << np.uint64(64 - bits)) | (runs >> np.uint64(bits)))
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, dtype=np.int64)
     weight = np.diff(np.concatenate([first, [len(keys)]]))
