@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from poiloom.llm import html_text, mixing, near_dups, packing, quality, secrets, substrings, suffixes, warc
+from poiloom.llm import html_text, mixing, near_dups, packing, phrases, quality, secrets, substrings, suffixes, warc
 
 
 def tokenizer_path() -> str:
@@ -51,12 +51,27 @@ def op8_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_seen(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_best_fit_packing, op2_secret_scan, op3_source_mixing, op4_near_dedup, op5_substring_dedup, op6_html_extraction, op7_quality_rules, op8_warc_packages, op10_suffix_dedup)
+    own = (
+        op1_best_fit_packing,
+        op2_secret_scan,
+        op3_source_mixing,
+        op4_near_dedup,
+        op5_substring_dedup,
+        op6_html_extraction,
+        op7_quality_rules,
+        op8_warc_packages,
+        op9_document_fingerprints,
+        op10_suffix_dedup,
+    )
     return {f.__name__: f for f in own}
 
 
