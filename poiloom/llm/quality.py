@@ -103,15 +103,16 @@ def counts_of(texts: list[str | None]) -> list[np.ndarray]:
     return [n, *(np.array(x, dtype=np.int64) for x in (chars, symbols, dups)), repeats.astype(np.int64), np.array(lines, dtype=np.int64), stutter.astype(np.int64)]
 
 
-def with_counts(docs: DataFrame, *keep: str) -> DataFrame:
-    """The keep columns of docs and COUNTS, one row per document."""
+def with_counts(docs: DataFrame, *keep: str, text: str = "text") -> DataFrame:
+    """The keep columns of docs and COUNTS of its text, one row per document."""
     small_batches(docs.sparkSession)
-    d = own_names(docs, *keep, "text")
+    d = own_names(docs, *keep, *([] if text in keep else [text]))
+    at = d.columns.index(text)
     schema = ", ".join(f"`{c}` {d.schema[c].dataType.simpleString()}" for c in keep) + "".join(f", {c} long" for c in COUNTS)
 
     def count(batches):
         for batch in batches:
-            found = counts_of(batch.column(len(keep)).to_pylist())
+            found = counts_of(batch.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), *map(pa.array, found)], names=[*keep, *COUNTS])
 
     return d.mapInArrow(count, schema)
@@ -169,16 +170,24 @@ def level_of(paths: dict[str, str]) -> Column:
     return F.least(*[first(r, c) for r, c in paths.items()])
 
 
-def judged(counted: DataFrame, labels: DataFrame, key: str = "doc_id", stratum: str = "lang", label: str = "quality") -> DataFrame:
-    """counted (a stored table with COUNTS) with base_failed, level, cut_level and kept.
+def ruled(counted: DataFrame) -> DataFrame:
+    return counted.withColumn("base_failed", base_failed()).withColumns(rules())
 
-    labels: key and label (1 good, 0 bad).
+
+def leveled(d: DataFrame, paths: DataFrame, stratum: str) -> DataFrame:
+    columns = {r: f"_path_{r}" for r in rules_names()}
+    return d.join(paths, F.col(stratum).eqNullSafe(F.col("_stratum")), "left").withColumn("level", level_of(columns)).drop("_stratum", *columns.values())
+
+
+def learn(counted: DataFrame, labels: DataFrame, key: str = "doc_id", stratum: str = "lang", label: str = "quality") -> tuple[DataFrame, DataFrame]:
+    """Each stratum's paths of cutoffs and its certified level, as small tables.
+
+    counted: a stored table with COUNTS, key and stratum. labels: key and label (1 good, 0 bad).
     """
     spark = counted.sparkSession
-    d = counted.withColumn("base_failed", base_failed()).withColumns(rules())
     own = labels.select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label")).where("_label in (0, 1) and _key is not null")
     first = F.pmod(F.xxhash64(F.lit(7), F.col(key)), F.lit(2)) == 0
-    labelled = d.where(~F.col("base_failed")).join(own, F.col(key) == F.col("_key")).withColumn("_first", first)
+    labelled = ruled(counted).where(~F.col("base_failed")).join(own, F.col(key) == F.col("_key")).withColumn("_first", first)
     names = rules_names()
     pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("rule"), F.col(r).alias("value")) for i, r in enumerate(names)]))
     hist = labelled.where("_first").select(stratum, "_label", pairs.alias("x")).groupBy(stratum, "_label", "x.rule", "x.value").count().collect()
@@ -186,17 +195,17 @@ def judged(counted: DataFrame, labels: DataFrame, key: str = "doc_id", stratum:
     for r in hist:
         tables.setdefault(r[0], np.zeros((len(names), 2, TOP + 1), dtype=np.int64))[r["rule"], r["_label"], r["value"]] += r["count"]
     kind = counted.schema[stratum].dataType.simpleString()
-    columns = {r: f"_path_{r}" for r in names}
     rows = [(s, *(cutoffs(t[i, 1], t[i, 0]) for i in range(len(names)))) for s, t in tables.items()]
-    paths = lookup(spark, rows, f"_stratum {kind}, " + ", ".join(f"{c} array<int>" for c in columns.values()))
+    paths = lookup(spark, rows, f"_stratum {kind}, " + ", ".join(f"_path_{r} array<int>" for r in names))
+    seen = leveled(labelled, paths, stratum).groupBy(stratum, "_first", "_label", "level").count().collect()
+    chosen = choose([(r[0], r["_first"], r["_label"], r["level"], r["count"]) for r in seen])
+    return paths, lookup(spark, list(chosen.items()), f"_of {kind}, cut_level int")
 
-    def leveled(x: DataFrame) -> DataFrame:
-        return x.join(paths, F.col(stratum).eqNullSafe(F.col("_stratum")), "left").withColumn("level", level_of(columns)).drop("_stratum", *columns.values())
 
-    seen = leveled(labelled).groupBy(stratum, "_first", "_label", "level").count().collect()
-    chosen = choose([(r[0], r["_first"], r["_label"], r["level"], r["count"]) for r in seen])
-    cuts = lookup(spark, list(chosen.items()), f"_of {kind}, cut_level int")
-    found = leveled(d).join(cuts, F.col(stratum).eqNullSafe(F.col("_of")), "left").drop("_of", *names)
+def judged(counted: DataFrame, learnt: tuple[DataFrame, DataFrame], stratum: str = "lang") -> DataFrame:
+    """counted with base_failed, level, cut_level and kept."""
+    paths, cuts = learnt
+    found = leveled(ruled(counted), paths, stratum).join(cuts, F.col(stratum).eqNullSafe(F.col("_of")), "left").drop("_of", *rules_names())
     return found.withColumn("kept", ~F.col("base_failed") & (F.col("cut_level").isNull() | (F.col("level") > F.col("cut_level"))))
 
 
@@ -223,4 +232,17 @@ def choose(seen: list[tuple]) -> dict:
 
 def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, COUNTS, base_failed, level, cut_level, kept of every document."""
-    return judged(stored(with_counts(docs, "doc_id", "lang"), "counts"), labels).drop("lang")
+    counted = stored(with_counts(docs, "doc_id", "lang"), "counts")
+    return judged(counted, learn(counted, labels)).drop("lang")
+
+
+def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that are kept, with docs' columns.
+
+    Cutoffs come from a first look at the texts; a second one applies them, so texts are read
+    twice and never shuffled.
+    """
+    learnt = learn(stored(with_counts(docs, "doc_id", "lang"), "counts"), labels)
+    own = {c: f"_c{i}" for i, c in enumerate(docs.columns)}  # docs may have columns of the same names as counts
+    renamed = docs.toDF(*own.values())
+    return judged(with_counts(renamed, *own.values(), text=own["text"]), learnt, own["lang"]).where("kept").select(*[F.col(v).alias(c) for c, v in own.items()])
