@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def common_length(a: str, b: str) -> int:
@@ -43,6 +44,6 @@ def token_set_similarity(a: str | None, b: str | None) -> float:
     return best
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def token_set_score(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([token_set_similarity(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")

@@ -10,6 +10,7 @@ from functools import cache
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: What Unicode case folding and classes need in a Java pattern.
 FLAGS = "(?iuU)"
@@ -47,7 +48,7 @@ def _many() -> str:
     return "[" + "".join(f"\\x{{{a:x}}}" if a == b else f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges) + "\\x{10000}-\\x{10ffff}]"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _decomposed(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else "".join(c for c in unicodedata.normalize("NFD", x) if unicodedata.category(c) != "Mn"))
 
