@@ -29,12 +29,12 @@ def deduplicate(df: DataFrame, subset: Sequence[str], keep: str = "first", order
     groups = df.groupBy(*subset).agg(pick.alias("_kept"), F.count(F.lit(1)).alias("_n"))
     if keep == "none":
         groups = groups.where("_n = 1")
-    return df.join(groups.select(F.col("_kept").alias(order)), order, "left_semi")
+    return df.join(groups.select(F.col("_kept").alias(order)), order, "left_semi").select(*df.columns)
 
 
 def exact_drops(before: DataFrame, after: DataFrame, order: str = "row_id") -> DataFrame:
     """Rows of before whose row number isn't in after."""
-    return before.join(after.select(order), order, "left_anti")
+    return before.join(after.select(order), order, "left_anti").select(*before.columns)
 
 
 def legacy_drops(before: DataFrame, after: DataFrame, id_column: str | None = None) -> DataFrame:
@@ -43,14 +43,14 @@ def legacy_drops(before: DataFrame, after: DataFrame, id_column: str | None = No
     Nulls are never equal here, so a surviving row with a null counts as dropped.
     """
     keys = [id_column] if id_column else [c for c in before.columns if c in after.columns and c != "row_id"]
-    return before.join(after.select(*keys), keys, "left_anti")
+    return before.join(after.select(*keys), keys, "left_anti").select(*before.columns)
 
 
 def report_drops(before: DataFrame, after: DataFrame) -> DataFrame:
     """Rows of before without an equal name and place in after; nulls are never equal."""
     name = "name" if "name" in before.columns else "name_normalized"
     keys = [c for c in (name, "latitude", "longitude", "id", "place_id") if c in before.columns and c in after.columns]
-    return before.join(after.select(*keys), keys, "left_anti") if keys else before.limit(0)
+    return before.join(after.select(*keys), keys, "left_anti").select(*before.columns) if keys else before.limit(0)
 
 
 def top_dropped(dropped: DataFrame, name: str = "name", most: int = 5) -> DataFrame:
@@ -62,4 +62,4 @@ def with_group_count(df: DataFrame, key: Column, alias: str) -> DataFrame:
     """df with the number of rows that have its key; null without a key. Counted map-side, then joined."""
     own = df.withColumn("_group", key)
     counts = own.where("_group is not null").groupBy("_group").agg(F.count(F.lit(1)).alias(alias))
-    return own.join(counts, "_group", "left").drop("_group")
+    return own.join(counts, "_group", "left").select(*df.columns, alias)

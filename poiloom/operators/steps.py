@@ -52,7 +52,8 @@ def normalize_and_dedup(df: DataFrame, keep: str = "first", exact: bool = True)
     named = normalize_names(df, exact)
     require(named, "name_normalized", "latitude", "longitude")
     kept = deduplicate(named, ["name_normalized", "latitude", "longitude"], keep).select("row_id", F.lit(True).alias("_kept"))
-    return StepResult(named.join(kept, "row_id", "left").withColumn("drop_reason", F.when(F.col("_kept").isNull(), F.lit("Exact_Duplicate"))).drop("_kept"), "name_normalized")
+    marked = named.join(kept, "row_id", "left")
+    return StepResult(marked.select(*named.columns, F.when(F.col("_kept").isNull(), F.lit("Exact_Duplicate")).alias("drop_reason")), "name_normalized")
 
 
 def source_flag(df: DataFrame, strict: bool = False) -> Column:
