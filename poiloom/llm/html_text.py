@@ -92,7 +92,7 @@ def left_out(tag: str, attributes: str) -> bool:
 def parse(page: str) -> Node:
     """The page's tree; what is left out is not in it. An element's items are texts of blocks and child elements."""
     root = Node("html", None, False)
-    node, pieces, inline, links = root, [], [], 0
+    node, pieces, links = root, [], 0
     at = 0
 
     def flush() -> None:
@@ -116,6 +116,8 @@ def parse(page: str) -> Node:
         tag = tag.lower()
         if tag in INLINE:
             if node.out:
+                if node.tag == tag:  # within a line's part that is left out: it may hold others of its name
+                    node = node.parent if m[2] else Node(tag, node, True)
                 continue
             if tag == "br":
                 pieces.append(" ")
@@ -133,11 +135,6 @@ def parse(page: str) -> Node:
                 # a line's part that is left out: it becomes an element of its own, up to its end tag
                 flush()
                 node = Node(tag, node, True)
-                inline.append(tag)
-            continue
-        if node.out and inline and node.tag in INLINE and m[2] and tag == node.tag:
-            node = node.parent
-            inline.pop()
             continue
         if not node.out:
             flush()

@@ -5,7 +5,7 @@ A text's bytes are parsed into phrases, the phrases' names into phrases, and so
 - Equal neighbours are first put together to one symbol, named by symbol and number.
 - Deterministic coin tossing then gives each symbol a small label: twice the lowest bit in
   which it differs from the symbol before it, plus that bit's value. Three rounds bring any
-  64-bit symbols below 6 labels, neighbours always different.
+  64-bit symbols to 8 labels, neighbours always different.
 - A phrase starts where a label is a local minimum. That depends on a few symbols around,
   so equal substrings are cut at the same places inside, wherever they stand.
 - A phrase's name is a hash of its symbols in order.
@@ -53,7 +53,7 @@ CHUNK = 1 << 20
 
 
 def labels(x: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Coin tossing's labels below 6 of symbols that differ from their left neighbours; start: first symbol of a text."""
+    """Coin tossing's labels below 8 of symbols that differ from their left neighbours; start: first symbol of a text."""
     for _ in range(3):
         before = np.empty_like(x)
         before[1:] = x[:-1]
