@@ -6,7 +6,7 @@ cutoffs are learnt from labels, by stratum (language):
 
 - Labelled documents are split in two by a hash of their id. The first half's good documents
   give a path of cutoffs for every rule, from lenient to strict: level k cuts off at most the
-  share k / LEVELS of ALLOWED among the rules. A rule is used in a stratum only if it
+  share k / LEVELS of ALLOWED by each rule. A rule is used in a stratum only if it
   rejects bad documents clearly more often than good ones there.
 - The second half is the holdout. Along the path, the good documents that any rule would
   reject are counted; the exact binomial upper bound of their share, at the confidence
@@ -151,7 +151,7 @@ def cutoffs(good: np.ndarray, bad: np.ndarray) -> list[int] | None:
     if n == 0 or bad.sum() == 0:
         return None
     above = n - np.cumsum(good)  # good documents above each value
-    path = [int(np.argmax(above <= n * ALLOWED * k / LEVELS / len(rules_names()))) for k in range(LEVELS)]
+    path = [int(np.argmax(above <= n * ALLOWED * k / LEVELS)) for k in range(LEVELS)]
     lost = bad[path[-1] + 1 :].sum() / bad.sum()
     return path if lost > GAIN * ALLOWED else None
 
