@@ -75,5 +75,35 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in own}
 
 
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+MIXING_SQL = f"""
+WITH sized AS (SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size FROM documents),
+sums AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS k FROM sized GROUP BY source),
+weighed AS (SELECT *, CASE (k - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight, CAST(sum(source_size) OVER () AS BIGINT) AS total FROM sums),
+filled AS (
+  SELECT *, CAST(sum(source_size) OVER up AS BIGINT) - source_size AS size_below, CAST(sum(weight) OVER up AS BIGINT) - weight AS weight_below, CAST(sum(weight) OVER () AS BIGINT) AS weights
+  FROM weighed WINDOW up AS (ORDER BY source_size / weight, k ROWS UNBOUNDED PRECEDING)),
+capped AS (SELECT *, (total - {mixing.MOST} * size_below) * weight > {mixing.MOST} * source_size * (weights - weight_below) AS full_ FROM filled),
+open_ AS (SELECT *, total - {mixing.MOST} * coalesce(CAST(sum(CASE WHEN full_ THEN source_size END) OVER () AS BIGINT), 0) AS rest, weights - coalesce(CAST(sum(CASE WHEN full_ THEN weight END) OVER () AS BIGINT), 0) AS shared FROM capped),
+goals AS (SELECT source, source_size, CASE WHEN full_ THEN CAST({mixing.MOST} * source_size AS DOUBLE) ELSE CAST(rest * weight AS DOUBLE) / shared END AS target, ((k * {mixing.STEP} + 20240229) % {mixing.OFFSETS}) / CAST({mixing.OFFSETS} AS DOUBLE) AS shift FROM open_),
+placed AS (SELECT *, CAST(row_number() OVER (PARTITION BY source ORDER BY size, doc_id) - 1 AS DOUBLE) AS place FROM sized),
+both_ AS (SELECT p.*, g.source_size, g.target, g.shift, CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0.0 END AS rate FROM placed p JOIN goals g ON p.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, size, source_size, target, CAST(floor((place + 1) * rate + shift) - floor(place * rate + shift) AS BIGINT) * size AS taken FROM both_
+"""
+
+REPEATS_SQL = f"""
+WITH w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+p AS (SELECT doc_id, ws, unnest(range(1, len(ws) - {substrings.WINDOW} + 2)) AS i FROM w),
+g AS (SELECT doc_id, i, array_to_string(ws[i : i + {substrings.WINDOW} - 1], ' ') AS words FROM p),
+again AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY words) AS n FROM g) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + {substrings.WINDOW})) AS j FROM again),
+each_ AS (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS j FROM w),
+kept AS (SELECT e.doc_id, count(*) AS n, string_agg(e.ws[e.j], ' ' ORDER BY e.j) AS words FROM each_ e LEFT JOIN gone ON e.doc_id = gone.doc_id AND e.j = gone.j WHERE gone.j IS NULL GROUP BY e.doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(kept.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.words, '')) AS kept_sha256 FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The queries that SQL can express on whole tables; the others are tested against brute force."""
+    return {"op3_source_mixing": MIXING_SQL, "op5_substring_dedup": REPEATS_SQL}
