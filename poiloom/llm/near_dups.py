@@ -12,9 +12,9 @@ A document is the bag of its runs of WIDTH words; how often a run occurs is its
    Registers are cut into bands; documents that share a band's registers are candidates.
 3. Candidates are verified on whole texts: probability Jaccard, or that of plain sets, of
    ALIKE or more. In each bucket all are first compared with two leaders; the links make
-   classes; then those of different classes in a bucket are compared, until no bucket holds
-   an untried pair of two classes. So a class of n copies costs some n comparisons, and no
-   link between classes is lost.
+   classes. Links between classes that meet in a bucket are then looked for by rare runs
+   (untried_pairs). So a class of n copies costs some n comparisons, and no link between
+   classes is lost.
 4. Classes are connected components of links.
 
 Defined cases: a null text has no words; texts of 1 to WIDTH - 1 words are one run; texts
@@ -28,7 +28,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from poiloom.llm import words as W
@@ -198,29 +198,74 @@ def ordered(a: str, b: str) -> list:
     return [F.greatest(a, b).alias("u"), F.least(a, b).alias("v")]
 
 
+def band_members(own: DataFrame) -> DataFrame:
+    """key, doc_id, n (members of the key's bucket) and the bucket's leaders a (smallest id) and b.
+
+    b is the member with most companions in all its buckets: of an original and its edited
+    copies that is the original, near which most others are.
+    """
+    sizes = own.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = stored(own.join(sizes, "key"), "shared-bands")
+    companions = shared.groupBy("doc_id").agg(F.sum("n").alias("companions"))
+    lead = shared.join(companions, "doc_id").groupBy("key").agg(F.min("doc_id").alias("a"), F.max_by("doc_id", F.struct("companions", -F.col("doc_id"))).alias("b"))
+    return stored(shared.join(lead, "key"), "members")
+
+
+def untried_pairs(docs: DataFrame, members: DataFrame, classes: DataFrame, alike: float) -> DataFrame:
+    """Pairs (u, v) of different classes among which every link between classes that share a bucket is.
+
+    Only buckets of four or more can hold a pair that no leader was in. Of two linked
+    documents that of the smaller class looks for the other one: at most a certain number of
+    its runs is missing in the other, so among one more of them, whichever, there is a common
+    one. It takes those that are rarest outside its class. What makes an edited copy too
+    unlike its original is its own runs, and they are rare: few pairs come of it, however
+    many copies meet in a bucket.
+    """
+    placed = members.where("n >= 4").join(classes, members["doc_id"] == classes["node"], "left").select("key", F.col("doc_id").alias("id"), F.coalesce("root", "doc_id").alias("root"))
+    mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+    open_ = stored(placed.join(mixed, "key", "left_semi").select("id", "root").distinct(), "open")
+    texts = needed_texts(docs, open_.select("id"))
+    span = open_.groupBy("root").agg(F.count(F.lit(1)).alias("span"))
+    kind = open_.schema["id"].dataType.simpleString()
+
+    def cut(batches):
+        for batch in batches:
+            doc, run, weight = bags([W.split(t) for t in batch.column("text").to_pylist()])
+            size = np.bincount(doc, minlength=batch.num_rows)
+            mass = np.bincount(doc, weights=weight, minlength=batch.num_rows).astype(np.int64)
+            at = pa.array(doc)
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(at), pa.array(run.view(np.int64)), pa.array(weight.astype(np.int64)), pa.array(size[doc].astype(np.int64)), pa.array(mass[doc])], names=["id", "run", "w", "size", "mass"])
+
+    runs = stored(texts.mapInArrow(cut, f"id {kind}, run long, w long, size long, mass long").join(open_, "id").join(span, "root"), "runs")
+    within = runs.groupBy("run", "root").agg(F.count(F.lit(1)).alias("inside"))
+    whole = within.groupBy("run").agg(F.sum("inside").alias("all"), F.count(F.lit(1)).alias("roots"))
+    outside = within.join(whole, "run").select("run", "root", (F.col("all") - F.col("inside")).alias("outside"))
+    rare = Window.partitionBy("id").orderBy("outside", "run")
+    ranked = runs.join(outside, ["run", "root"]).withColumns({"before": F.row_number().over(rare) - 1, "mass_before": F.sum("w").over(rare.rowsBetween(Window.unboundedPreceding, -1))})
+    # common runs of x and y are at least alike / (1 + alike) of both sizes together
+    share = alike / (1 + alike)
+    longest = ((1 - share) * F.col("size") - F.col("before")) / share + 1e-6
+    by_mass = F.coalesce("mass_before", F.lit(0)) <= (1 - alike) * F.col("mass") + 1e-6
+    asks = ranked.where("outside > 0").select("run", F.col("id").alias("x"), F.struct("span", "root").alias("of_x"), longest.alias("longest"), by_mass.alias("by_mass"), (F.col("mass") > F.col("size")).alias("heavy_x"))
+    asks = asks.where(F.col("by_mass") | (F.col("longest") >= 1))
+    others = runs.select("run", F.col("id").alias("y"), F.struct("span", "root").alias("of_y"), F.col("size").alias("size_y"), (F.col("mass") > F.col("size")).alias("heavy_y"))
+    near = (F.col("of_x") < F.col("of_y")) & ((F.col("size_y") <= F.col("longest")) | (F.col("by_mass") & (F.col("heavy_x") | F.col("heavy_y"))))
+    return asks.join(others, (asks["run"] == others["run"]) & near).select(*ordered("x", "y")).distinct()
+
+
 def near_classes(docs: DataFrame, alike: float = ALIKE) -> DataFrame:
     """doc_id, copy_of (smallest id with the same words), class_id (smallest id of its class) of every document."""
     sigs = stored(signed(docs), "signatures")
     copies = stored(sigs.groupBy("h1", "h2").agg(F.min("doc_id").alias("copy_of")), "copies")
     own = sigs.join(copies.select(F.col("copy_of").alias("doc_id")), "doc_id", "left_semi").select("doc_id", F.explode("keys").alias("key")).distinct()
-    # the leaders: the smallest id, and the one that a hash puts first
-    lead = own.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("a"), F.min_by("doc_id", F.xxhash64("doc_id")).alias("b")).where("n > 1")
-    members = stored(own.join(lead, "key"), "members")
+    members = band_members(own)
     first = members.select(*ordered("doc_id", "a")).unionByName(members.select(*ordered("doc_id", "b"))).where("u <> v").distinct()
     tried = verified(docs, first, alike)
-    while True:
-        classes = components(tried.where("linked").select("u", "v"))
-        placed = members.join(classes, members["doc_id"] == classes["node"], "left").select("key", "doc_id", F.coalesce("root", "doc_id").alias("root"))
-        mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-        open_ = stored(placed.join(mixed, "key", "left_semi"), "open")
-        other = open_.select("key", F.col("doc_id").alias("other"), F.col("root").alias("other_root"))
-        pairs = open_.join(other, "key").where("root < other_root").select(*ordered("doc_id", "other")).distinct().join(tried.select("u", "v"), ["u", "v"], "left_anti")
-        rest = stored(pairs, "pairs")
-        if rest.isEmpty():
-            break
-        tried = stored(tried.unionByName(verified(docs, rest, alike)), "tried")
-    found = sigs.join(copies, ["h1", "h2"]).select("doc_id", "copy_of").join(classes, F.col("copy_of") == F.col("node"), "left").select("doc_id", "copy_of", F.coalesce("root", "copy_of").alias("class_id"))
-    return found
+    classes = components(tried.where("linked").select("u", "v"))
+    rest = stored(untried_pairs(docs, members, classes, alike).join(tried.select("u", "v"), ["u", "v"], "left_anti"), "pairs")
+    if not rest.isEmpty():
+        classes = components(tried.unionByName(verified(docs, rest, alike)).where("linked").select("u", "v"))
+    return sigs.join(copies, ["h1", "h2"]).select("doc_id", "copy_of").join(classes, F.col("copy_of") == F.col("node"), "left").select("doc_id", "copy_of", F.coalesce("root", "copy_of").alias("class_id"))
 
 
 def first_of_class(docs: DataFrame) -> DataFrame:
