@@ -4,10 +4,13 @@ A configuration is a multiset of lengths that fit in one bin. The program asks f
 smallest sum of amounts x_c such that each length is covered as often as it occurs.
 Multiplicative weights solve it: every length has a weight, its price is its share of the
 bin times that weight, a knapsack dynamic program prices configurations, and lengths that
-were covered lose weight. Then the amounts are rounded down along
-their running sum and the rest, bounded by configurations and not by pieces, is packed
-best fit first by decreasing length. All of it works on at most `capacity` counts, so it
-costs the same for any number of pieces.
+could not be covered without leaving room gain weight.
+
+Rounding takes the amounts of configurations that fill a bin, rounded down along their
+running sum; for what they leave the program is solved again, and the last solution's
+configurations are all taken. What is left then is bounded by the number of configurations
+and not by that of pieces, and is packed best fit by decreasing length. All of it works on
+at most `capacity` counts, so it costs the same for any number of pieces.
 """
 
 from __future__ import annotations
@@ -17,6 +20,10 @@ from dataclasses import dataclass, field
 import numpy as np
 
 
+#: Solutions in a row, each for what the one before left, and the share of a bin that may stay empty in all but the last.
+ATTEMPTS, SPARE = 6, 0.0
+
+
 @dataclass
 class Plan:
     """Bins: each entry stands for `times` equal bins with the given (length, copies)."""
@@ -45,56 +52,57 @@ def knapsack(prices: np.ndarray, lengths: np.ndarray, capacity: int) -> np.ndarr
     return best
 
 
-def trace(best: np.ndarray, prices: np.ndarray, lengths: np.ndarray, room: int, lack: np.ndarray, slack: float) -> list[int]:
-    """Places of the lengths of a configuration within room whose price is best but for slack.
+def trace(best: np.ndarray, prices: np.ndarray, lengths: np.ndarray, room: int, lack: np.ndarray) -> list[int]:
+    """Places of the lengths of a configuration within room, near the best price.
 
-    Of the lengths that keep to it, each step takes the one that lacks most: one table of
-    the dynamic program so gives many different configurations.
+    Only lengths that lack something are taken, so one table of the dynamic program serves
+    for many configurations: of those that keep to the best price the one that lacks most,
+    and where none does, the one that comes nearest to it.
     """
     found: list[int] = []
-    floor = best[room] - slack
     while k := int(np.searchsorted(lengths, room, side="right")):
-        value = prices[:k] + best[room - lengths[:k]]
-        j = int(np.where(value >= floor, lack[:k], -np.inf).argmax())
-        if value[j] < floor or prices[j] <= 0:
+        value = np.where(lack[:k] > 0, prices[:k] + best[room - lengths[:k]], -np.inf)
+        top = value.max()
+        if top == -np.inf:
             break
+        j = int(np.where(value >= max(top, best[room]) - 1e-9, lack[:k], -np.inf).argmax()) if top >= best[room] - 1e-9 else int(value.argmax())
         found.append(j)
         room -= int(lengths[j])
-        floor -= prices[j]
     return found
 
 
-def solve(counts: dict[int, int], capacity: int, rounds: int = 60, rate: float = 0.5) -> tuple[list[tuple[tuple[int, ...], float]], float]:
+def solve(counts: dict[int, int], capacity: int, rounds: int = 4, rate: float = 0.005, spare: float = SPARE) -> tuple[list[tuple[tuple[int, ...], float]], float]:
     """Configurations with amounts that cover the counts, and the sum of the amounts.
 
-    In each round the weights are priced once; then every length that is short, the longest
-    first, gets a best configuration that holds it, in the amount that covers the first of
-    its lengths. Weights fall with the share that is covered, so the next round's prices
-    lead to what is short. What is still short after the last round is covered by
-    configurations that cover others more than needed.
+    In each round every length has its part of its count due. The weights are priced once;
+    then the lengths that are short of what is due, those of most weight and of them the
+    longest first, get configurations that hold them, each in the amount that covers the
+    first of its lengths. A length for which only configurations with more room than the
+    share spare are left waits and gains weight; in the last round it takes what there is.
     """
     lengths = np.array(sorted(counts), dtype=np.int64)
     need = np.array([counts[int(x)] for x in lengths], dtype=float)
-    covered, amounts = np.zeros(len(lengths)), {}
-    for t in range(rounds + 1):
-        prices = lengths / capacity * np.exp(-rate * np.minimum(covered / need, 1))
+    short, weight, amounts = np.zeros(len(lengths)), np.ones(len(lengths)), {}
+    for t in range(1, rounds + 1):
+        prices = lengths / capacity * weight
         best = knapsack(prices, lengths, capacity)
+        short += need / rounds
         for i in range(len(lengths) - 1, -1, -1):
-            if need[i] - covered[i] <= 1e-9 * need[i]:
-                continue
-            lack = need - covered
-            places = [i, *trace(best, prices, lengths, capacity - int(lengths[i]), lack, 1e-9 + 0.002 * t / rounds)]
-            times: dict[int, int] = {}
-            for x in places:
-                times[x] = times.get(x, 0) + 1
-            step = lack[i] / times[i] if t == rounds else min(lack[k] / n for k, n in times.items())
-            if step > 1e-3:
+            while short[i] > 1e-9 * need[i]:
+                places = [i, *trace(best, prices, lengths, capacity - int(lengths[i]), short)]
                 config = tuple(int(lengths[x]) for x in sorted(places, reverse=True))
+                if capacity - sum(config) > spare * capacity and t < rounds:
+                    break
+                times: dict[int, int] = {}
+                for x in places:
+                    times[x] = times.get(x, 0) + 1
+                # at least a thousandth of the count is covered, others then a little more than needed
+                step = max(min(short[k] / n for k, n in times.items()), min(short[i] / times[i], 1e-3 * need[i]))
                 amounts[config] = amounts.get(config, 0.0) + step
                 for k, n in times.items():
-                    covered[k] += n * step
-        if (covered >= need * (1 - 1e-9)).all():
-            break
+                    short[k] -= n * step
+        weight *= np.exp(rate * np.clip(short / need * rounds, 0, 1))
+        weight /= weight.max()
     return list(amounts.items()), sum(amounts.values())
 
 
@@ -131,20 +139,27 @@ def pack(counts: dict[int, int], capacity: int) -> Plan:
     left = {k: n for k, n in counts.items() if n > 0}
     if not left:
         return plan
-    amounts, plan.lp_value = solve(left, capacity)
-    carried = 0.0
-    for config, x in amounts:  # those that fit exactly came first
-        parts = counted(config)
-        carried += x
-        k = min(int(carried + 1e-9), min(left[v] // n for v, n in parts))
-        carried -= int(carried + 1e-9)
-        if k > 0:
-            plan.times.append(k)
-            plan.contents.append(parts)
-            for v, n in parts:
-                left[v] -= n * k
+    for attempt in range(ATTEMPTS):
+        amounts, value = solve(left, capacity)
+        plan.lp_value = plan.lp_value or float(value)
+        carried = 0.0
+        for config, x in amounts:
+            if capacity - sum(config) > SPARE * capacity and attempt < ATTEMPTS - 1:
+                continue  # what only leaves room is solved again without what is placed
+            parts = counted(config)
+            carried += x
+            k = min(int(carried + 1e-9), min(left.get(v, 0) // n for v, n in parts))
+            carried -= int(carried + 1e-9)
+            if k > 0:
+                plan.times.append(k)
+                plan.contents.append(parts)
+                for v, n in parts:
+                    left[v] -= n * k
+        left = {k: n for k, n in left.items() if n}
+        if not left:
+            return plan
     rest: dict = {}
-    for config in best_fit({k: n for k, n in left.items() if n}, capacity):
+    for config in best_fit(left, capacity):
         rest[config] = rest.get(config, 0) + 1
     for config, k in rest.items():
         plan.times.append(k)
