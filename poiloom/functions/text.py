@@ -56,7 +56,9 @@ def _decomposed(s: pd.Series) -> pd.Series:
 def without_accents(c: Column, exact: bool = False) -> Column:
     """Accents removed. exact: also where a character decomposes to several letters, in Python for those rows."""
     fast = F.regexp_replace(F.translate(c, *_one_to_one()), r"\p{Mn}", "")
-    return F.when(c.rlike(_many()), _decomposed(c)).otherwise(fast) if exact else fast
+    # all other rows go to Python as nulls only
+    odd = c.rlike(_many())
+    return F.when(odd, _decomposed(F.when(odd, c))).otherwise(fast) if exact else fast
 
 
 def stripped(c: Column) -> Column:
