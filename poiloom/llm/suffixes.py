@@ -11,7 +11,9 @@ shift two marked suffixes agree in WINDOW - v + 1 bytes.
 - Only suffixes within a shift below v of a marked one that ties can tie over WINDOW bytes.
   These alone are sorted, again one bucket at a time, with the number of their block of
   documents behind the fingerprint. In a run of equal ones the first in document order
-  stands first; all others start strings that have been seen earlier.
+  stands first; all others start strings that have been seen earlier. These buckets are
+  dealt with in PASSES: what one pass shuffles is gone before the next one starts, which
+  bounds the disk that candidates need.
 
 Buckets have the size that the number of partitions gives them. Equal strings of a block of
 documents are one entry, so a string that millions of documents share adds one entry for
@@ -27,6 +29,7 @@ empty result.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +42,8 @@ from poiloom.llm.common import own_names, shuffle_partitions, small_batches
 WINDOW = 100
 #: A perfect difference set: every difference modulo PERIOD occurs exactly once. Fixed values.
 PERIOD, COVER = 57, (0, 1, 3, 13, 32, 36, 43, 52)
+#: Passes over the candidates, each with its share of their fingerprints.
+PASSES = 3
 #: Fingerprints made at a time.
 SLICE = 1 << 17
 
@@ -120,11 +125,15 @@ def remove_seen(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         places = reachable(marked, begin, window, PERIOD)
         return places, byte_prints(raw, places, window) & ~B.FLAGS
 
-    def sort(batches):
-        for block, answers, table in B.blocks_of(batches):
-            _, raw, begin = read(table.column(1).to_pylist())
-            _, prints = candidates(raw, begin, answers.get(B.ANSWER))
-            yield B.question_batch(B.questions(block, B.flagged(prints), bounds))
+    def sort(share):
+        def one(batches):
+            for block, answers, table in B.blocks_of(batches):
+                _, raw, begin = read(table.column(1).to_pylist())
+                _, prints = candidates(raw, begin, answers.get(B.ANSWER))
+                prints = prints[(prints >> np.uint64(2)) % np.uint64(PASSES) == share]
+                yield B.question_batch(B.questions(block, B.flagged(prints), bounds))
+
+        return one
 
     def seen(flags, blocks, first, times):
         # flag 1: the first occurrence of all is in this block, and stays
@@ -162,6 +171,7 @@ def remove_seen(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             yield pa.RecordBatch.from_arrays([ids, *columns], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     tied = B.answered(d.mapInArrow(mark, B.QUESTION), ties, partitions, "cover")
-    asked = B.together(d, (B.ANSWER, tied)).mapInArrow(sort, B.QUESTION)
-    verdict = B.answered(asked, seen, partitions, "suffixes")
+    texts = B.together(d, (B.ANSWER, tied))
+    passes = [B.answered(texts.mapInArrow(sort(np.uint64(k)), B.QUESTION), seen, partitions, "suffixes") for k in range(PASSES)]
+    verdict = reduce(DataFrame.unionByName, passes)
     return B.together(d, (B.ANSWER, tied), (B.VERDICT, verdict)).mapInArrow(remove, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
