@@ -71,9 +71,17 @@ QUESTION = "part int, block long, blob binary"
 PIECE = "block long, kind int, blob binary"
 
 
-def answered(asked: DataFrame, decide: Callable, partitions: int, what: str) -> DataFrame:
+def shortened(prints: np.ndarray, bits: int) -> np.ndarray:
+    """The highest bits of fingerprints, moved down to just above the flags."""
+    return (prints >> np.uint64(64 - bits)) << np.uint64(2)
+
+
+def answered(asked: DataFrame, decide: Callable, partitions: int, what: str, bits: int = 62) -> DataFrame:
     """Stored answers (block, blob of ascending numbers).
 
+    bits: length of the fingerprints in answers, see shortened(). An answer is compared with
+    its own block's fingerprints only, which takes fewer bits than comparing those of all.
+
     decide: (fingerprints, flags, blocks), sorted by fingerprint, then block, with starts of
     equal ones and how many entries each has, to (which entries get an answer, its flags).
     """
@@ -95,7 +103,7 @@ def answered(asked: DataFrame, decide: Callable, partitions: int, what: str) ->
         first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
         times = np.diff(np.concatenate([first, [len(own)]]))
         mask, out = decide(flags, b, first, times)
-        own, b, out = own[mask] | out[mask], b[mask], None
+        own, b = shortened(own[mask], bits) | out[mask], b[mask]
         order = np.lexsort((own, b))
         own, b = own[order], b[order]
         cut = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1]])) if len(b) else np.zeros(0, dtype=np.int64)

@@ -84,9 +84,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     def candidates(h, begin, hits):
         places = block_places(begin, anchor)
-        places = places[B.member(at_places(h, places, anchor) & ~B.FLAGS, hits)]
+        places = places[B.member(B.shortened(at_places(h, places, anchor), 62), hits)]
         starts = near(places, anchor, window, begin)
-        return starts, at_places_in_slices(h, starts, window) & ~B.FLAGS
+        return starts, at_places_in_slices(h, starts, window)
 
     def at_places_in_slices(h, starts, width):
         found = [at_places(h, starts[i : i + 65536], width) for i in range(0, len(starts), 65536)]
@@ -102,7 +102,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         for _, answers, table in B.blocks_of(batches):
             lists, begin, h = read(table.column(1).to_pylist())
             starts, prints = candidates(h, begin, answers.get(B.ANSWER))
-            starts = starts[B.member(prints, answers.get(B.VERDICT))]
+            starts = starts[B.member(B.shortened(prints, 62), answers.get(B.VERDICT))]
             gone = W.covered(starts, window, len(h)) if len(h) else np.zeros(0, dtype=bool)
             removed, shas = [], []
             for i, ws in enumerate(lists):

@@ -44,6 +44,9 @@ WINDOW = 100
 PERIOD, COVER = 57, (0, 1, 3, 13, 32, 36, 43, 52)
 #: Passes over the candidates, each with its share of their fingerprints.
 PASSES = 3
+#: Bits of fingerprints in answers. A wrong tie of marked suffixes only adds candidates; a wrong verdict needs
+#: one of a block's own candidates to agree with another one's fingerprint in so many bits.
+TIE_BITS, VERDICT_BITS = 46, 54
 #: Fingerprints made at a time.
 SLICE = 1 << 17
 
@@ -121,9 +124,9 @@ def remove_seen(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     def candidates(raw, begin, tied):
         marked = cover_places(begin, width)
-        marked = marked[B.member(byte_prints(raw, marked, width) & ~B.FLAGS, tied)]
+        marked = marked[B.member(B.shortened(byte_prints(raw, marked, width), TIE_BITS), tied)]
         places = reachable(marked, begin, window, PERIOD)
-        return places, byte_prints(raw, places, window) & ~B.FLAGS
+        return places, byte_prints(raw, places, window)
 
     def sort(share):
         def one(batches):
@@ -148,7 +151,7 @@ def remove_seen(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             verdict = answers.get(B.VERDICT)
             if verdict is not None:
                 places, prints = candidates(raw, begin, answers.get(B.ANSWER))
-                own = verdict & ~B.FLAGS
+                prints, own = B.shortened(prints, VERDICT_BITS), verdict & ~B.FLAGS
                 at = B.member(prints, own)
                 places, prints = places[at], prints[at]
                 leads = (verdict[np.searchsorted(own, prints)] & np.uint64(1)) > 0
@@ -170,8 +173,8 @@ def remove_seen(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             columns = [pa.array([len(x) for x in raws], pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(shas, pa.string())]
             yield pa.RecordBatch.from_arrays([ids, *columns], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    tied = B.answered(d.mapInArrow(mark, B.QUESTION), ties, partitions, "cover")
+    tied = B.answered(d.mapInArrow(mark, B.QUESTION), ties, partitions, "cover", TIE_BITS)
     texts = B.together(d, (B.ANSWER, tied))
-    passes = [B.answered(texts.mapInArrow(sort(np.uint64(k)), B.QUESTION), seen, partitions, "suffixes") for k in range(PASSES)]
+    passes = [B.answered(texts.mapInArrow(sort(np.uint64(k)), B.QUESTION), seen, partitions, "suffixes", VERDICT_BITS) for k in range(PASSES)]
     verdict = reduce(DataFrame.unionByName, passes)
     return B.together(d, (B.ANSWER, tied), (B.VERDICT, verdict)).mapInArrow(remove, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
