@@ -8,7 +8,7 @@ import types
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word, wherever an operator counts or compares words.
@@ -50,12 +50,6 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def small_batches(spark: SparkSession) -> None:
     """Bounds what one Arrow batch holds, by rows and bytes."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
@@ -118,5 +112,3 @@ def own_names(df: DataFrame, *names: str) -> DataFrame:
         raise ValueError(f"columns are missing: {missing}")
     return df.select(*names)
 
-
-__all__ = ["Window"]

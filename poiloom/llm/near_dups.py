@@ -41,7 +41,8 @@ BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
 #: Bits of a run's name that make room for the document's number within a batch.
 DOC_BITS = 16
-#: Points are first made for so many times the time in which half the registers' last one is filled.
+#: Points are first made up to the time REGISTERS * (ln REGISTERS + SPARE) / weight: one register in
+#: exp(SPARE) documents is still empty then.
 SPARE = 3.0
 #: Bits of the fixed-size filter that keeps unneeded texts out of the verification's shuffle.
 FILTER_BITS = 23
@@ -167,7 +168,7 @@ def signed(docs: DataFrame) -> DataFrame:
 def needed_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """id and text of the documents in ids (id). Most others are kept out before the shuffle, by a filter of fixed size."""
     place = F.xxhash64("id").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    words = ids.select(F.shiftright(place, 6).alias("w"), F.expr(f"shiftleft(1L, cast(xxhash64(id) & 63 as int))").alias("bit")).groupBy("w").agg(F.bit_or("bit").alias("bits"))
+    words = ids.select(F.shiftright(place, 6).alias("w"), F.expr("shiftleft(1L, cast(xxhash64(id) & 63 as int))").alias("bit")).groupBy("w").agg(F.bit_or("bit").alias("bits"))
     all_ = docs.where("doc_id is not null").select(F.col("doc_id").alias("id"), "text")
     # at most 2 ** (FILTER_BITS - 6) rows
     maybe = all_.withColumn("w", F.shiftright(place, 6)).join(F.broadcast(words), "w").where("(bits & shiftleft(1L, cast(xxhash64(id) & 63 as int))) <> 0")
