@@ -215,14 +215,14 @@ def band_members(own: DataFrame) -> DataFrame:
 def untried_pairs(docs: DataFrame, members: DataFrame, classes: DataFrame, alike: float) -> DataFrame:
     """Pairs (u, v) of different classes among which every link between classes that share a bucket is.
 
-    Only buckets of four or more can hold a pair that no leader was in. Of two linked
-    documents that of the smaller class looks for the other one: at most a certain number of
+    Only buckets of three or more can hold a pair that no leader was in: in one of three the
+    smallest id may be both leaders. Of two linked documents that of the smaller class looks for the other one: at most a certain number of
     its runs is missing in the other, so among one more of them, whichever, there is a common
     one. It takes those that are rarest outside its class. What makes an edited copy too
     unlike its original is its own runs, and they are rare: few pairs come of it, however
     many copies meet in a bucket.
     """
-    placed = members.where("n >= 4").join(classes, members["doc_id"] == classes["node"], "left").select("key", F.col("doc_id").alias("id"), F.coalesce("root", "doc_id").alias("root"))
+    placed = members.where("n >= 3").join(classes, members["doc_id"] == classes["node"], "left").select("key", F.col("doc_id").alias("id"), F.coalesce("root", "doc_id").alias("root"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
     open_ = stored(placed.join(mixed, "key", "left_semi").select("id", "root").distinct(), "open")
     texts = needed_texts(docs, open_.select("id"))

@@ -57,6 +57,24 @@ def test_chain_of_near_copies(spark):
     assert got == classes(rows[:-1])
 
 
+def test_triples_whose_smallest_id_is_not_the_hub(spark):
+    """The smallest id is near the hub only, and often both leaders of all buckets that the other two share."""
+    rng = random.Random(12)
+    rows = []
+    for i in range(0, 600, 3):
+        hub = [f"w{rng.randint(0, 10**9)}" for _ in range(304)]
+        first, last = list(hub), list(hub)
+        first[20] = f"x{i}"
+        for k in range(60, 300, 40):
+            last[k] = f"y{i}-{k}"
+        first[280] = f"x{i}-280"
+        rows += [(i, " ".join(first)), (i + 1, " ".join(hub)), (i + 2, " ".join(last))]
+    near = [len(a & b) / len(a | b) for a, b in ((shingles(rows[p][1]), shingles(rows[q][1])) for p, q in ((0, 1), (1, 2), (0, 2)))]
+    assert near[0] >= 0.9 and 0.8 <= near[1] < 0.85 and near[2] < 0.8
+    got = {r.doc_id: r.class_id for r in N.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {k: k - k % 3 for k in got} and len(got) == 600
+
+
 def test_estimates():
     rng = random.Random(3)
     words = [f"w{i}" for i in range(400)]
