@@ -1,7 +1,10 @@
 """Secrets in texts: fixed patterns, and strings that a battery of randomness tests singles out.
 
 Fixed patterns give the base spans (assign, access, hex). Beside them every maximal run of
-encoding characters that no base span touches is a candidate:
+encoding characters that no base span touches is a candidate. '=' is padding at the end of
+a run and ends a part elsewhere (NAME=value). A part that mixes '+' or '/' with '-' or '_'
+has no encoding: its longest stretches without the one or the other two, and those without
+'/', '-' and '_', are candidates instead. Of reported ones those within another are left out.
 
 - Its encoding is the smallest alphabet that holds it (hex, base32, alphanumeric, base64).
 - Battery: chi-squared test of uniform use of the alphabet, runs test about the alphabet's
@@ -37,6 +40,9 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+#: Parts of a candidate; '=' belongs to the last one only. Then stretches of a part that no alphabet holds.
+PART = re.compile(r"[A-Za-z0-9+/_-]+(?:=+\Z)?")
+STRETCHES = tuple(re.compile(rf"[A-Za-z0-9{more}]+(?:=+\Z)?") for more in ("+/", "_-", "+"))
 #: Part of each of ASSIGN's words, in lower case: a text without any of them has no assignment.
 HINTS = ("passw", "secret", "token", "api")
 #: Fewest characters of group 2 of ASSIGN, and of the shortest other match.
@@ -112,17 +118,28 @@ def looks_random(token: str) -> bool:
     return min(uniform, runs_p, serial_p) >= BATTERY
 
 
+def parts(run: str) -> list[tuple[int, int]]:
+    """Places in a run of encoding characters of what is tested, by start, the longer one first."""
+    found = set()
+    for m in PART.finditer(run):
+        mixed = not {"+", "/"}.isdisjoint(m[0]) and not {"-", "_"}.isdisjoint(m[0])
+        stretches = [x.span() for p in STRETCHES for x in p.finditer(m[0])] if mixed else [(0, len(m[0]))]
+        found.update((m.start() + a, m.start() + b) for a, b in stretches if b - a >= LEAST_CHARS)
+    return sorted(found, key=lambda s: (s[0], -s[1]))
+
+
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int, int]]:
     """(start, end, length, equal pairs, class changes, neighbours compared) of candidates that pass the battery."""
     found = []
     for m in CANDIDATE.finditer(text):
-        start, end = m.span()
-        if any(s < end and start < e for _, s, e in base) or not looks_random(m[0]):
-            continue
-        raw = m[0].rstrip("=").encode()
-        counts = np.bincount(np.frombuffer(raw, dtype=np.uint8))
-        changes, compared = class_changes(raw)
-        found.append((start, end, len(raw), int((counts * (counts - 1)).sum()) // 2, changes, compared))
+        for a, b in parts(m[0]):
+            start, end, token = m.start() + a, m.start() + b, m[0][a:b]
+            if any(s < end and start < e for _, s, e in base) or not looks_random(token):
+                continue
+            raw = token.rstrip("=").encode()
+            counts = np.bincount(np.frombuffer(raw, dtype=np.uint8))
+            changes, compared = class_changes(raw)
+            found.append((start, end, len(raw), int((counts * (counts - 1)).sum()) // 2, changes, compared))
     return found
 
 
@@ -234,10 +251,13 @@ def digest(spans: list[tuple[int, int, int]]) -> str:
 def reported(base: list[Row], found: list[Row], known: tuple[float, float, float], least: dict[int, float]) -> list[tuple[int, int, int]]:
     """Base spans and those candidates whose evidence is enough, by start, then kind."""
     spans = [(b["kind"], b["start"], b["end"]) for b in base]
-    for c in found:
+    last = 0
+    for c in sorted(found, key=lambda c: (c["start"], -c["end"])):
         need = least.get(length_class(c["n"]))
-        if need is not None and evidence(c["n"], c["pairs"], c["changes"], c["neighbours"], *known) >= need:
+        # one that ends no later than an earlier one stands within it
+        if c["end"] > last and need is not None and evidence(c["n"], c["pairs"], c["changes"], c["neighbours"], *known) >= need:
             spans.append((3, c["start"], c["end"]))
+            last = c["end"]
     return sorted(spans, key=lambda s: (s[1], s[0]))
 
 

@@ -47,6 +47,37 @@ def test_random_strings_are_found(spark, rows):
     assert texts[hits[0]][int(start) : int(end)] == planted[hits[0]]
 
 
+def test_keys_behind_names_and_paths(spark, rows):
+    rng = random.Random(6)
+    key = lambda more="": "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789" + more) for _ in range(40))
+    heads = ["AWS_SECRET_ACCESS_KEY=", "GITHUB_PAT=ghp_", "AccountKey=", "https://x.org/?sig=", "auth=", "a_b/", "some-dir/some_name/"]
+    ordinary = [r[1] for r in rows if r[1]]
+    texts, keys = [], []
+    for i in range(42):
+        own = key("+/") if i % 7 == 0 else key()
+        own += "==" if i % 7 == 2 else ""
+        keys.append(own)
+        texts.append(f"{ordinary[i % 20][:200]} {heads[i % 7]}{own} {ordinary[i % 20][200:300]}")
+    plain = ["LD_LIBRARY_PATH=/usr/local/share/some-long-name_of/the-directory", "class=averylongnameofaclass-with_parts/inner", "a=b=c=d=e=f=g=h=i=j=k=l=m=n=o=p"]
+    df = spark.createDataFrame(list(enumerate(texts + plain)), "doc_id long, text string")
+    got = {r.doc_id: [tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s.startswith("random")] for r in S.find_secrets(df).collect()}
+    for i, (text, own) in enumerate(zip(texts, keys, strict=True)):
+        at = text.index(own)
+        inside = [(a, b) for a, b in got[i] if a <= at and b >= at + len(own)]
+        assert len(got[i]) <= 1 and all(a >= text.rfind("=", 0, at) + 1 for a, _ in got[i]), (i, got[i])
+        keys[i] = bool(inside)
+    for k in range(7):
+        assert sum(keys[k::7]) >= 5, (heads[k], keys[k::7])
+    assert not any(got[i] for i in range(len(texts), len(texts + plain)))
+    clean = {r.doc_id: r.text for r in S.redacted_documents(df).collect()}
+    assert sum("[SECRET]" in t for t in clean.values()) == sum(map(bool, got.values()))
+
+
+def test_parts():
+    assert S.parts("A" * 20 + "==" + "b" * 19 + "=") == [(0, 20), (22, 42)]
+    assert S.parts("a_b/" + "K" * 20 + "==") == [(2, 26), (4, 26)]
+
+
 def test_step_up():
     assert S.step_up([(0, 100, 5), (0, 10, 1), (0, 0, 94)]) == {0: 10.0}
     assert S.step_up([(0, 0, 10)]) == {}
