@@ -1,7 +1,10 @@
 """Main text of web pages by composite text density.
 
 A page becomes a tree. Elements that are boilerplate by their nature (menus, forms, scripts,
-hidden ones) or by name (class, id, role) are left out with all they hold. For every other
+hidden ones) or by name (class, id, role) are left out with all they hold. A class or id has
+to be such a name as a whole, or to consist of such words and COMPANIONS. No element is left
+out by name that holds an article or main element (other than articles that are so named
+themselves, such as comments) or, on pages without any, most of the text. For every other
 element the characters, tags, link characters and link tags of its subtree give its
 composite density: characters per tag, times a logarithm that falls with the share of links
 in it. The element whose children's densities have the largest sum is the core. The least
@@ -27,20 +30,22 @@ from poiloom.llm.common import own_names, small_batches
 
 #: One match is a comment, a declaration, an element whose content is no markup, or a tag.
 MARKUP = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|iframe|svg|math|select|object|canvas|audio|video)(?=[\s/>])[^>]*>(?:.*?</\1\s*>|.*\Z)|<[!?][^>]*>|<(/?)([a-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""",
+    r"""<!--.*?(?:-->|\Z)|<(?:svg|math)(?=[\s/>])(?:[^>"']|"[^"]*"|'[^']*')*/>|<(script|style|noscript|template|textarea|title|iframe|svg|math|select|object|canvas|audio|video)(?=[\s/>])[^>]*>(?:.*?</\1\s*>|.*\Z)|<[!?][^>]*>|<(/?)([a-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""",
     re.DOTALL | re.IGNORECASE,
 )
-ATTRIBUTE = re.compile(r"""([a-z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?|"[^"]*"|'[^']*'""")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that stand within a line of text.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img br".split())
 #: Elements left out by nature.
 BOILERPLATE = frozenset("nav header footer aside form button menu dialog head fieldset input".split())
-#: Words of a class or id, and roles, that mark what is left out.
+#: Classes, ids and roles that mark what is left out.
 NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs sidebar footer comments comment commentlist disqus replies notice notices cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription social share sharing related recommended widget login signup pagination pager skip".split()
 )
 WHOLE_NAMES = frozenset("header site-header page-header masthead topbar search searchbox toolbar alert".split())
+#: Words that may stand beside NAMES in a class or id.
+COMPANIONS = frozenset("site page main top bottom left right primary secondary global header list section block box slot unit links buttons button icons bar container wrapper form item items posts articles body text inner".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 #: A start tag ends an open element of the second set, up to the nearest of the third.
 ENDS = {
@@ -61,32 +66,39 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 class Node:
     """An element: its own blocks and children in order, and its subtree's counts."""
 
-    __slots__ = ("tag", "parent", "items", "out", "chars", "tags", "link_chars", "link_tags", "density")
+    __slots__ = ("tag", "parent", "items", "out", "chars", "tags", "link_chars", "link_tags", "density", "named", "inline")
 
-    def __init__(self, tag: str, parent: Node | None, out: bool):
-        self.tag, self.parent, self.out = tag, parent, out
+    def __init__(self, tag: str, parent: Node | None, out: bool, named: bool = False, inline: bool = False):
+        self.tag, self.parent, self.out, self.named, self.inline = tag, parent, out, named, inline
         self.items: list = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = 0.0
 
 
-def left_out(tag: str, attributes: str) -> bool:
-    if tag in BOILERPLATE:
+def bad_name(name: str) -> bool:
+    """Whether a class or id, in lower case, marks what is left out."""
+    if name in NAMES or name in WHOLE_NAMES:
         return True
-    if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+    words = {w for w in re.split(r"[^a-z]+", name) if len(w) > 1}
+    return not words.isdisjoint(NAMES) and words <= NAMES | COMPANIONS
+
+
+def left_out(tag: str, attributes: str) -> tuple[bool, bool]:
+    """Whether an element is left out by its nature, and whether by its name."""
+    if tag in BOILERPLATE:
+        return True, False
+    if not attributes or tag in ("html", "body"):
+        return False, False
+    named = hidden = False
     for m in ATTRIBUTE.finditer(attributes):
-        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        name, value = (m[1] or "").lower(), (m[2] or m[3] or m[4] or "").lower()
         if name in ("class", "id"):
-            for one in value.split():
-                if one in WHOLE_NAMES or not NAMES.isdisjoint(re.split(r"[^a-z]+", one)):
-                    return True
+            named = named or any(map(bad_name, value.split()))
         elif name == "role":
-            if value in ROLES:
-                return True
-        elif (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
-            return True
-    return re.search(r"(?:^|\s)hidden(?=[\s/]|$)", attributes, re.IGNORECASE) is not None
+            named = named or value in ROLES
+        elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
+            hidden = True
+    return hidden and tag not in WHOLE, named
 
 
 def parse(page: str) -> Node:
@@ -115,9 +127,20 @@ def parse(page: str) -> Node:
             continue
         tag = tag.lower()
         if tag in INLINE:
+            if (node.out or node.inline) and node.tag == tag:  # within a line's part that is left out: it may hold others of its name
+                if not node.out:
+                    flush()
+                    links = 0
+                if m[2]:
+                    node = node.parent
+                else:
+                    node.tags += 1
+                    child = Node(tag, node, node.out, inline=True)
+                    if not child.out:
+                        node.items.append(child)
+                    node = child
+                continue
             if node.out:
-                if node.tag == tag:  # within a line's part that is left out: it may hold others of its name
-                    node = node.parent if m[2] else Node(tag, node, True)
                 continue
             if tag == "br":
                 pieces.append(" ")
@@ -131,10 +154,13 @@ def parse(page: str) -> Node:
             if tag == "a":
                 node.link_tags += 1
                 links += 1
-            elif tag not in VOID and m[4] and left_out(tag, m[4]):
+            elif tag not in VOID and m[4] and any(why := left_out(tag, m[4])):
                 # a line's part that is left out: it becomes an element of its own, up to its end tag
                 flush()
-                node = Node(tag, node, True)
+                child = Node(tag, node, *why, inline=True)
+                if not child.out:
+                    node.items.append(child)
+                node = child
             continue
         if not node.out:
             flush()
@@ -162,7 +188,8 @@ def parse(page: str) -> Node:
                 up = up.parent
             if up.tag in own:
                 node = up.parent
-        child = Node(tag, node, node.out or left_out(tag, m[4]))
+        nature, named = left_out(tag, m[4])
+        child = Node(tag, node, node.out or nature, named)
         if not child.out:
             node.items.append(child)
         node = child
@@ -171,9 +198,31 @@ def parse(page: str) -> Node:
         flush()
     elif not node.out:
         flush()
+    leave_out_named(root)
     return root
 
 
+def leave_out_named(root: Node) -> None:
+    """Takes named elements out of the tree, but for those that hold the page's articles or, without any, most of its text."""
+    order = [root]
+    for n in order:
+        order.extend(c for c in n.items if type(c) is Node)
+    if not any(n.named for n in order):
+        return
+    chars = {id(n): n.chars for n in order}
+    whole = {id(n): n.tag in WHOLE and not n.named for n in order}
+    for n in reversed(order[1:]):
+        chars[id(n.parent)] += chars[id(n)]
+        whole[id(n.parent)] = whole[id(n.parent)] or whole[id(n)]
+    articles, most = whole[id(root)], chars[id(root)] / 2
+
+    def stays(n: Node) -> bool:
+        return not n.named or n.tag in WHOLE or whole[id(n)] or (not articles and chars[id(n)] > most)
+
+    for n in order:
+        n.items = [c for c in n.items if type(c) is str or stays(c)]
+
+
 def weigh(root: Node) -> list[Node]:
     """Adds subtree counts and densities; returns the elements, parents first."""
     order = [root]

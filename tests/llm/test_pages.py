@@ -38,6 +38,20 @@ def test_odd_results():
     assert H.main_text("<article><p>a</p><span class='ad'>no</span><p>b</p></article>") == "a\n\nb"
 
 
+@pytest.mark.parametrize("name", ["has-sidebar", "no-sidebar", "content-sidebar-wrap", "with-ads", "nav-fixed", "widget-area", "post-share-enabled", "sidebar", "widget-container"])
+def test_wrappers_stay(name):
+    assert H.main_text(f"<body><div class='{name}'><article>{ARTICLE}</article></div></body>") == WANT
+    text = "".join(f"<p>{'A sentence of the text itself, number %d. ' % i * 4}</p>" for i in range(6))
+    assert H.main_text(f"<body><div id=x class='page {name}'><div>{text}</div></div></body>").count("sentence") == 24
+
+
+def test_left_out_by_name_or_hidden():
+    assert H.main_text("<article><p>a b c</p><div class='site-ads box'>no</div><div id=comments-list>no</div><div hidden=''>no</div><p>d e f</p></article>") == "a b c\n\nd e f"
+    assert H.main_text("<article><section title='The hidden cost'><p>yes</p></section></article>") == "yes"
+    assert H.main_text("<article><p>a</p></article><ol class=comments><li><article class=comment><p>no, not at all</p></article></ol>") == "a"
+    assert H.main_text("<article><p>one <svg a='/>' width=3 /> two</p><math/><p>three</p><svg><text>no</text></svg></article>") == "one two\n\nthree"
+
+
 def test_extract(spark):
     rows = [(1, "u", f"<article>{ARTICLE}</article>"), (2, None, None), (2, None, None), (None, "", "<p>x")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'t' as text", "0 as n_chars")
