@@ -9,7 +9,7 @@ element the characters, tags, link characters and link tags of its subtree give
 composite density: characters per tag, times a logarithm that falls with the share of links
 in it. The element whose children's densities have the largest sum is the core. The least
 density on its path to the body is the threshold: beside that path, subtrees that reach it
-are text as well. If the core lies in an article or main element, that whole element is the
+are text as well, and so is what stands directly in the path's elements, which all reach it. If the core lies in an article or main element, that whole element is the
 text, so that short paragraphs and titles stay.
 
 Inside a block white space becomes one space; blocks are joined in page order by an empty
@@ -246,8 +246,8 @@ def weigh(root: Node) -> list[Node]:
     return order
 
 
-def core(order: list[Node]) -> list[Node]:
-    """The elements whose subtrees are the text, in page order."""
+def core(order: list[Node]) -> list[Node | str]:
+    """The elements whose subtrees are the text, and texts beside them, in page order."""
     best, most = order[0], -1.0
     for n in order:
         children = [c.density for c in n.items if type(c) is Node]
@@ -265,19 +265,21 @@ def core(order: list[Node]) -> list[Node]:
     while up is not None:
         threshold, up = min(threshold, up.density), up.parent
 
-    found, n = [best], best
+    found: list[Node | str] = [best]
+    n = best
     while n.parent is not None:
         children = [c for c in n.parent.items if type(c) is Node]
         at = next(i for i, c in enumerate(children) if c is n)
         # a heading just before the text belongs to it
-        ok = [c for i, c in enumerate(children) if c.chars and (c.density >= threshold or (i == at - 1 and c.tag in HEADINGS)) or c is n]
+        before = children[at - 1] if at and children[at - 1].tag in HEADINGS else None
+        ok = [c for c in n.parent.items if type(c) is str or c is n or (c.chars and (c.density >= threshold or c is before))]
         here = next(i for i, c in enumerate(ok) if c is n)
         found = [*ok[:here], *found, *ok[here + 1 :]]
         n = n.parent
     return found
 
 
-def blocks(node: Node) -> list[str]:
+def blocks(node: Node | str) -> list[str]:
     found, todo = [], [node]
     while todo:
         x = todo.pop()

@@ -52,6 +52,13 @@ def test_left_out_by_name_or_hidden():
     assert H.main_text("<article><p>one <svg a='/>' width=3 /> two</p><math/><p>three</p><svg><text>no</text></svg></article>") == "one two\n\nthree"
 
 
+def test_text_beside_the_core():
+    text = "".join(f"<p>{'A sentence of the text itself, number %d. ' % i * 4}</p>" for i in range(6))
+    page = f"<body><div>long bare introduction<h2>Head</h2><div class=body>{text}</div>long bare<br>end<ul><li><a href=/>a link</a></ul></div></body>"
+    got = H.main_text(page).split("\n\n")
+    assert got[:2] == ["long bare introduction", "Head"] and got[-1] == "long bare end" and len(got) == 9
+
+
 def test_extract(spark):
     rows = [(1, "u", f"<article>{ARTICLE}</article>"), (2, None, None), (2, None, None), (None, "", "<p>x")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'t' as text", "0 as n_chars")
