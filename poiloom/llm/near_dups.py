@@ -36,7 +36,7 @@ from poiloom.llm.common import own_names, small_batches, stored
 from poiloom.llm.components import components
 
 WIDTH, ALIKE = 5, 0.8
-#: 1 - (1 - 0.8 ** ROWS) ** BANDS: one pair of 20,000 with similarity 0.8 shares no band.
+#: 1 - (1 - 0.8 ** ROWS) ** BANDS: one pair of 20,000 with probability Jaccard 0.8 shares no band; for set Jaccard that doesn't hold.
 BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
 #: Bits of a run's name that make room for the document's number within a batch.
