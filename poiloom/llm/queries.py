@@ -104,6 +104,17 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(kep
 """
 
 
+_FIVE_BITS = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(h, {5 * i + 1}, 5) AS BIGINT) >> {shift}) & 31)::INT, 1)" for i in range(8) for shift in (15, 10, 5, 0))
+
+WARC_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+h AS (SELECT *, sha1(payload) AS h, min(page_id) OVER (PARTITION BY payload) AS first_id FROM p)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, {_FIVE_BITS} AS payload_digest,
+  CASE WHEN first_id IS NULL OR page_id IS NOT DISTINCT FROM first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to FROM h
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The queries that SQL can express on whole tables; the others are tested against brute force."""
-    return {"op3_source_mixing": MIXING_SQL, "op5_substring_dedup": REPEATS_SQL}
+    return {"op3_source_mixing": MIXING_SQL, "op5_substring_dedup": REPEATS_SQL, "op8_warc_packages": WARC_SQL}

@@ -1,6 +1,8 @@
 import base64
+import gzip
 import hashlib
 import io
+import json
 import struct
 import zipfile
 
@@ -149,10 +151,66 @@ def test_damage_is_an_error(damage):
         list(A.read_package(lambda at, n: raw[at : at + n], len(raw)))
 
 
-def test_packed_members_are_left_out():
+def test_members():
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w") as z:
         z.writestr(zipfile.ZipInfo("a"), "stored")
         z.writestr("b", "packed" * 100, zipfile.ZIP_DEFLATED)
     raw = out.getvalue()
-    assert list(A.directory(lambda at, n: raw[at : at + n], len(raw))) == ["a"]
+    assert {k: v[2] for k, v in A.directory(lambda at, n: raw[at : at + n], len(raw)).items()} == {"a": False, "b": True}
+
+
+def test_rows_of_equal_ids(spark):
+    # an id that occurs with several payloads, null ids, odd urls: what is written is told by id and payload together
+    html = ["x", "y", None, "", "unique", "x" * 3000]
+    rows = [(i % 3 if i % 4 else None, ["a 20240101000000 b", 'q"uote {1}', "\r\n", None][i % 4], html[i % 6]) for i in range(60)] + [(6, "u", "a"), (1, "u", "a"), (6, "u", "only here"), (7, "u", "by null"), (None, "u", "by null")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    want = []
+    for page_id, _, page in rows:
+        raw = (page or "").encode()
+        first = min((i for i, _, p in rows if i is not None and (p or "") == (page or "")), default=None)
+        again = first is not None and page_id != first
+        want.append((str(page_id), len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode(), "revisit" if again else "response", str(first) if again else "None"))
+    got = [(str(r.page_id), r.payload_bytes, r.payload_digest, r.record_type, str(r.refers_to)) for r in A.round_trip(df).collect()]
+    assert sorted(got) == sorted(want)
+
+
+def test_names_as_ids(spark):
+    rows = [("b:1 >", "u", "x"), ("a/ä", "u", "x"), ("", "u", "z")]
+    got = A.round_trip(spark.createDataFrame(rows, "page_id string, url string, html string")).collect()
+    assert sorted((r.page_id or "", r.record_type, r.refers_to) for r in got) == [("", "response", None), ("a/ä", "response", None), ("b:1 >", "revisit", "a/ä")]
+
+
+@pytest.mark.parametrize("method", [zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED])
+def test_package_of_another_writer(method):
+    """Other member names, time stamps, a gzipped index, numbers as strings, no digests."""
+    bodies = {f"http://x/{i}": b"body %d " % i * (i * 400) for i in range(12)}
+    data, lines = b"", ["!meta 0 {}"]
+    for i, (url, body) in enumerate(bodies.items()):
+        http = b"HTTP/1.1 200 OK\r\nServer:  x\r\n\r\n" + body
+        head = f"WARC/1.0\r\nWARC-Type:response\r\nWARC-Record-ID: <urn:uuid:{i}>\r\nWARC-Target-URI: {url}\r\nContent-Type: application/http;msgtype=response\r\nContent-Length: {len(http)}\r\n\r\n".encode()
+        packed = gzip.compress(head + http + b"\r\n\r\n")
+        lines.append(f'x,{i} )/ {["2020", "20210304", "20240101000000", "20240101000000123"][i % 4]} ' + json.dumps({"url": url, "filename": "crawl-1.warc.gz", "offset": str(len(data)), "length": str(len(packed))}))
+        data += packed
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", method) as z:
+        z.writestr("datapackage.json", "{}")
+        z.writestr("archive/crawl-1.warc.gz", data)
+        z.writestr("indexes/index.cdx.gz", gzip.compress("\n".join(lines).encode()))
+    raw = out.getvalue()
+    got = {r["url"]: r for r in A.read_package(lambda at, n: raw[at : at + n], len(raw))}
+    assert {u: (r["payload_bytes"], r["payload_digest"], r["record_type"], r["page_id"][:9]) for u, r in got.items()} == {u: (len(b), A.digest(b), "response", "<urn:uuid") for u, b in bodies.items()}
+
+
+def test_hot_keys_join(spark):
+    from poiloom.llm import common
+
+    rows = [(None if i % 3 == 0 else i % 7, i) for i in range(500)]
+    left = spark.createDataFrame(rows, "k long, v long")
+    sums: dict = {}
+    for k, _ in rows:
+        sums[k] = sums.get(k, 0) + 1
+    right = spark.createDataFrame([(k, n, f"of {k}") for k, n in sums.items() if k != 2], "k long, n long, name string")
+    for total in (0, 500, 500 * common.HOT, 100 * common.HOT):
+        got = common.spread_join(left, right, ["k"], "n", total).collect()
+        assert sorted((str(r.k), r.v, str(r["name"])) for r in got) == sorted((str(k), v, "None" if k == 2 else f"of {k}") for k, v in rows)
