@@ -86,7 +86,7 @@ filled AS (
   FROM weighed WINDOW up AS (ORDER BY source_size / weight, k ROWS UNBOUNDED PRECEDING)),
 capped AS (SELECT *, (total - {mixing.MOST} * size_below) * weight > {mixing.MOST} * source_size * (weights - weight_below) AS full_ FROM filled),
 open_ AS (SELECT *, total - {mixing.MOST} * coalesce(CAST(sum(CASE WHEN full_ THEN source_size END) OVER () AS BIGINT), 0) AS rest, weights - coalesce(CAST(sum(CASE WHEN full_ THEN weight END) OVER () AS BIGINT), 0) AS shared FROM capped),
-goals AS (SELECT source, source_size, CASE WHEN full_ THEN CAST({mixing.MOST} * source_size AS DOUBLE) ELSE CAST(rest * weight AS DOUBLE) / shared END AS target, ((k * {mixing.STEP} + 20240229) % {mixing.OFFSETS}) / CAST({mixing.OFFSETS} AS DOUBLE) AS shift FROM open_),
+goals AS (SELECT source, source_size, CASE WHEN full_ THEN CAST({mixing.MOST} * source_size AS DOUBLE) ELSE CAST(rest * weight AS DOUBLE) / shared END AS target, CAST('0x' || substr(md5('{mixing.SEED}:' || coalesce('=' || source, '')), 1, {mixing.OFFSET_DIGITS}) AS BIGINT) / CAST({16**mixing.OFFSET_DIGITS} AS DOUBLE) AS shift FROM open_),
 placed AS (SELECT *, CAST(row_number() OVER (PARTITION BY source ORDER BY size, doc_id) - 1 AS DOUBLE) AS place FROM sized),
 both_ AS (SELECT p.*, g.source_size, g.target, g.shift, CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0.0 END AS rate FROM placed p JOIN goals g ON p.source IS NOT DISTINCT FROM g.source)
 SELECT doc_id, size, source_size, target, CAST(floor((place + 1) * rate + shift) - floor(place * rate + shift) AS BIGINT) * size AS taken FROM both_

@@ -13,10 +13,15 @@ def brute(rows):
     return sizes, total
 
 
-def test_mix(docs, rows):
+def goals(spark, sizes):
+    df = spark.createDataFrame([(k, v, 1) for k, v in sizes.items()], "name string, source_size long, rows long")
+    return {r["name"]: r.target for r in mixing.targets(df).collect()}
+
+
+def test_mix(spark, docs, rows):
     sizes, total = brute(rows)
     got = mixing.mix_words(docs).collect()
-    goal = mixing.targets(total)
+    goal = goals(spark, total)
     source = {r[0]: r[3] for r in rows}
     taken: dict = {}
     assert len(got) == len(rows)
@@ -30,12 +35,49 @@ def test_mix(docs, rows):
     assert sorted(map(tuple, again)) == sorted(map(tuple, got))
 
 
-def test_targets():
-    t = mixing.targets({"a": 10, "b": 100, "c": 100, None: 5})
+def test_targets(spark):
+    t = goals(spark, {"a": 10, "b": 100, "c": 100, None: 5})
     assert t["a"] == 30 and t[None] == 15 and sum(t.values()) == pytest.approx(215)
     assert t["b"] == pytest.approx(2 * t["c"])
-    assert mixing.targets({}) == {} and mixing.targets({"a": 0})["a"] == 0
-    assert list(mixing.targets({"é": 1, "z": 1, "Z": 1})) and mixing.targets({"Z": 9, "z": 9, "é": 9})["Z"] > mixing.targets({"Z": 9, "z": 9, "é": 9})["é"]
+    assert goals(spark, {}) == {} and goals(spark, {"a": 0})["a"] == 0
+    t = goals(spark, {"Z": 9, "z": 9, "é": 9})
+    assert t["Z"] > t["z"] > t["é"]
+
+
+def test_many_sources(spark):
+    # shares that are cut off step by step, against exact fractions
+    from fractions import Fraction
+
+    sizes = {f"s{i:04d}": (i * i * 7919) % 1000 + i for i in range(300)}
+    names, weight = sorted(sizes), {n: (5, 2, 1)[i % 3] for i, n in enumerate(sorted(sizes))}
+    full: set = set()
+    while True:
+        left, shared = sum(sizes.values()) - 3 * sum(sizes[n] for n in full), sum(weight[n] for n in names if n not in full)
+        new = {n for n in names if n not in full and Fraction(left * weight[n], shared) > 3 * sizes[n]}
+        if not new:
+            break
+        full |= new
+    got = goals(spark, sizes)
+    assert full and all(got[n] == pytest.approx(3 * sizes[n] if n in full else left * weight[n] / shared) for n in names)
+
+
+def test_seeds(spark, docs):
+    sized = docs.selectExpr("doc_id", "source", "coalesce(length(text), 0) as size")
+    found = [tuple(sorted((r.doc_id, r.copies) for r in mixing.mix(sized, seed=s).collect())) for s in (1, 2, 3, 3)]
+    assert len(set(found)) == 3 and found[2] == found[3]
+
+
+def test_equal_rows(spark):
+    # equal ids with other texts keep their own numbers; rows that are equal throughout are interchangeable
+    rows = [(1, f"w{i} " * (i % 9 + 1), "ab"[i % 2], i) for i in range(40)] + [(2, "same words", "a", 1)] * 50
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, extra int").repartition(3)
+    taken: dict = {}
+    for r in mixing.mix_words(df).collect():
+        taken[r.source_size] = taken.get(r.source_size, 0) + r.taken
+    got: dict = {}
+    for r in mixing.mixed_documents(df).collect():
+        got[r.source] = got.get(r.source, 0) + len(r.text.split())
+    assert sorted(got.values()) == sorted(taken.values())
 
 
 def test_documents(docs, rows, empty):
