@@ -20,7 +20,8 @@ the block after it.
 
 Defined cases: a null text is an empty one, its fingerprint has no names; two fingerprints
 without names are alike (1.0), with and without are not (0.0); rows with equal ids stand
-in order of their texts; a null id stands first; the next of the last document is the first
+in order of their texts; rows without id stand first, in order of blocks by a hash of their
+texts, then of texts; a text of any length is one row of one block; the next of the last document is the first
 one, of a single document itself; an empty table gives an empty result.
 """
 
@@ -36,12 +37,10 @@ from pyspark.sql import functions as F
 
 from poiloom.llm import blobs as B
 from poiloom.llm import words as W
-from poiloom.llm.common import own_names, ranked, shuffle_partitions, small_batches
+from poiloom.llm.common import own_names, ranked, small_batches, stored
 
 #: Names kept of each level, lowest first.
 KEPT = (16, 24, 48)
-#: The lowest level is kept of texts below so many bytes only: longer ones have enough above it.
-SHORT = 1024
 #: A level is used for likeness if both have so many names.
 ENOUGH = 12
 #: Share of a text that the edit replaces: 1 / EDIT of its code points.
@@ -115,14 +114,8 @@ def sketches(raws: list[bytes]) -> list[tuple[np.ndarray, ...]]:
         start = W.starts(np.array([len(raws[i]) for i in group]))[:-1]
         for level, keep in enumerate(KEPT):
             x, start = parse(x, start)
-            for i, s in zip(group, smallest(x, start, keep, len(x)) if level else [None] * len(group), strict=True):
-                if s is not None:
-                    found[i][level] = s
-            if not level:
-                ends = np.append(start[1:], len(x))
-                for j, i in enumerate(group):
-                    if len(raws[i]) < SHORT:
-                        found[i][0] = smallest(x[start[j] : ends[j]], np.zeros(1, dtype=np.int64), keep, int(ends[j] - start[j]))[0]
+            for i, s in zip(group, smallest(x, start, keep, len(x)), strict=True):
+                found[i][level] = s
     return [tuple(f) for f in found]
 
 
@@ -163,31 +156,29 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
-def handed_over(docs: DataFrame) -> DataFrame:
-    """Rows (block, HANDED, one packed document): the first document of the block after it, the last block's from the first."""
-    key = F.shiftright(F.coalesce(F.col("doc_id").cast("long"), F.lit(B.NO_ID)), B.BLOCK_BITS)
-    blocks = ranked(docs.select(key.alias("block")).distinct().withColumn("_all", F.lit(0)), "_all", ["block"], "blocks").select("block", "group_rank")
-    count = blocks.count()
-    previous = blocks.select(F.col("block").alias("to"), (F.col("group_rank") + 1).alias("next_rank"))
-    turn = F.pmod(F.col("next_rank"), F.lit(max(count, 1)))
-    after = previous.withColumn("next_rank", turn).join(blocks.withColumnRenamed("group_rank", "next_rank"), "next_rank").select("block", "to")
+def place_of(doc_id: int | None, text: str) -> tuple:
+    """What documents are ordered by within a block."""
+    return (doc_id is not None, doc_id or 0, text)
+
+
+def handed_over(docs: DataFrame, of: B.Layout) -> DataFrame:
+    """Pieces (block, HANDED, one packed document): the first document of the block after it, the last block's from the first."""
 
     def firsts(batches):
         for batch in batches:
             rows = []
-            for block, at in B.by_block(batch.column(0)):
+            for block, at in B.by_block(of, batch):
                 part = batch.take(pa.array(at))
-                ids = part.column(0).cast(pa.int64()).fill_null(B.NO_ID).to_pylist()
-                texts = part.column(1).to_pylist()
-                best = min(range(len(ids)), key=lambda i: (ids[i], texts[i] or ""))
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
-                    w.write_batch(part.slice(best, 1))
-                rows.append((block, sink.getvalue().to_pybytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["block", "blob"])
+                ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
+                best = min(range(len(ids)), key=lambda i: place_of(ids[i], texts[i] or ""))
+                rows.append((block, HANDED, B.packed_rows(part.slice(best, 1))))
+            yield B.piece_batch(rows)
 
-    own = docs.mapInArrow(firsts, "block long, blob binary")
-    return own.join(after, "block").select(F.col("to").alias("block"), F.lit(HANDED).alias("kind"), "blob")
+    own = stored(docs.mapInArrow(firsts, B.PIECE), "firsts")
+    blocks = stored(ranked(own.select("block").distinct().withColumn("_all", F.lit(0)), "_all", ["block"], "blocks").select("block", "group_rank"), "block-ranks")
+    previous = blocks.select(F.col("block").alias("to"), F.pmod(F.col("group_rank") + 1, F.lit(max(blocks.count(), 1))).alias("group_rank"))
+    after = previous.join(blocks, "group_rank").select("block", "to")
+    return own.join(after, "block").select(F.col("to").alias("block"), "kind", "part", "blob")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -196,14 +187,15 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     small_batches(spark)
     d = own_names(docs, "doc_id", "text")
     kind = d.schema["doc_id"].dataType.simpleString()
-    all_ = B.pieces(d).unionByName(handed_over(d)).repartition(shuffle_partitions(spark), "block").sortWithinPartitions("block", "kind")
+    of = B.layout(d)
+    all_ = B.met(B.pieces(d, of).unionByName(handed_over(d, of)), of)
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
     def in_order(tables: list[pa.Table]) -> tuple[list, list[str]]:
         table = pa.concat_tables(tables)
         ids = table.column(0).to_pylist()
         texts = [t or "" for t in table.column(1).to_pylist()]
-        order = sorted(range(len(ids)), key=lambda i: (B.NO_ID if ids[i] is None else ids[i], texts[i]))
+        order = sorted(range(len(ids)), key=lambda i: place_of(ids[i], texts[i]))
         return [ids[i] for i in order], [texts[i] for i in order]
 
     def block_rows(own: list[pa.Table], handed: list[pa.Table], id_type):

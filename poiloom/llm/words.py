@@ -30,6 +30,13 @@ def hashes(words: Iterable[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(map(xxh3_64_digest, words)), dtype="<u8")
 
 
+def wide_hashes(words: Iterable[bytes]) -> np.ndarray:
+    """Two independent 64-bit hashes of each word, one in each row."""
+    from xxhash import xxh3_128_digest
+
+    return np.ascontiguousarray(np.frombuffer(b"".join(map(xxh3_128_digest, words)), dtype="<u8").reshape(-1, 2).T)
+
+
 def windows(h: np.ndarray, width: int) -> np.ndarray:
     """A hash for each run of width consecutive entries of h, along its last axis; it depends on their order."""
     n = h.shape[-1] - width + 1
