@@ -4,17 +4,23 @@ A page becomes a tree. Elements that are boilerplate by their nature (menus, for
 hidden ones) or by name (class, id, role) are left out with all they hold. A class or id has
 to be such a name as a whole, or to consist of such words and COMPANIONS. No element is left
 out by name that holds an article or main element (other than articles that are so named
-themselves, such as comments) or, on pages without any, most of the text. For every other
-element the characters, tags, link characters and link tags of its subtree give its
-composite density: characters per tag, times a logarithm that falls with the share of links
-in it. The element whose children's densities have the largest sum is the core. The least
-density on its path to the body is the threshold: beside that path, subtrees that reach it
-are text as well, and so is what stands directly in the path's elements, which all reach it. If the core lies in an article or main element, that whole element is the
-text, so that short paragraphs and titles stay.
-
-Inside a block white space becomes one space; blocks are joined in page order by an empty
-line. Defined cases: null or empty html gives an empty text; unclosed elements end where
-their parent ends; broken markup is text; repeated rows each give their row.
+themselves, such as comments) or, on pages without any, most of the text. Of a header in an
+article its headings stay.
+
+For every other element the characters, tags, link characters and link tags of its subtree
+give its composite density: characters per tag, times a logarithm that falls with the share
+of links in it. The element whose children's densities have the largest sum is the core,
+whatever its name. The least density on its path to the body is the threshold: beside that
+path, subtrees that reach it are text as well, and so is what stands directly in the path's
+elements, which all reach it. Where the path lies in an article or main element, subtrees
+below the threshold stay, too, unless they are mostly links: short paragraphs have few
+characters per tag.
+
+Inside a block white space (no-break and other blanks of Unicode included) becomes one
+space; blocks are joined in page order by an empty line. Defined cases: null or empty html
+gives an empty text; unclosed elements end where their parent ends; broken markup is text;
+html of any length is parsed as a whole, in memory that grows with it; repeated rows each
+give their row; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -66,10 +72,12 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 class Node:
     """An element: its own blocks and children in order, and its subtree's counts."""
 
-    __slots__ = ("tag", "parent", "items", "out", "chars", "tags", "link_chars", "link_tags", "density", "named", "inline")
+    __slots__ = ("tag", "parent", "items", "out", "chars", "tags", "link_chars", "link_tags", "density", "named", "inline", "inside")
 
     def __init__(self, tag: str, parent: Node | None, out: bool, named: bool = False, inline: bool = False):
         self.tag, self.parent, self.out, self.named, self.inline = tag, parent, out, named, inline
+        #: whether an article or main element is around it
+        self.inside = parent is not None and (parent.inside or parent.tag in WHOLE)
         self.items: list = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = 0.0
@@ -190,6 +198,8 @@ def parse(page: str) -> Node:
                 node = up.parent
         nature, named = left_out(tag, m[4])
         child = Node(tag, node, node.out or nature, named)
+        if tag == "header" and child.inside and not node.out:
+            child.out = False
         if not child.out:
             node.items.append(child)
         node = child
@@ -199,9 +209,27 @@ def parse(page: str) -> Node:
     elif not node.out:
         flush()
     leave_out_named(root)
+    keep_headings(root)
     return root
 
 
+def keep_headings(root: Node) -> None:
+    """Leaves only headings in the headers of articles."""
+    order = [root]
+    for n in order:
+        if n.tag == "header":
+            headings, todo = [], list(reversed(n.items))
+            while todo:
+                x = todo.pop()
+                if type(x) is Node and x.tag in HEADINGS:
+                    x.parent = n
+                    headings.append(x)
+                elif type(x) is Node:
+                    todo.extend(reversed(x.items))
+            n.items, n.chars, n.tags, n.link_chars, n.link_tags = headings, 0, 0, 0, 0
+        order.extend(c for c in n.items if type(c) is Node)
+
+
 def leave_out_named(root: Node) -> None:
     """Takes named elements out of the tree, but for those that hold the page's articles or, without any, most of its text."""
     order = [root]
@@ -246,25 +274,27 @@ def weigh(root: Node) -> list[Node]:
     return order
 
 
-def core(order: list[Node]) -> list[Node | str]:
-    """The elements whose subtrees are the text, and texts beside them, in page order."""
+def densest(order: list[Node]) -> Node:
+    """The element whose children's densities have the largest sum; one without children counts for itself."""
     best, most = order[0], -1.0
     for n in order:
         children = [c.density for c in n.items if type(c) is Node]
         total = sum(children) if children else n.density
         if total > most:
             best, most = n, total
-    up, whole = best, None
-    while up is not None:
-        if up.tag in WHOLE:
-            whole = up
-        up = up.parent
-    if whole is not None:
-        return [whole]
+    return best
+
+
+def core(order: list[Node]) -> list[Node | str]:
+    """The elements whose subtrees are the text, and texts beside them, in page order."""
+    best = densest(order)
     threshold, up = best.density, best
     while up is not None:
         threshold, up = min(threshold, up.density), up.parent
 
+    def stays(c: Node, beside: Node) -> bool:
+        return c.chars > 0 and (c.density >= threshold or ((beside.inside or beside.tag in WHOLE) and 2 * c.link_chars <= c.chars))
+
     found: list[Node | str] = [best]
     n = best
     while n.parent is not None:
@@ -272,7 +302,7 @@ def core(order: list[Node]) -> list[Node | str]:
         at = next(i for i, c in enumerate(children) if c is n)
         # a heading just before the text belongs to it
         before = children[at - 1] if at and children[at - 1].tag in HEADINGS else None
-        ok = [c for c in n.parent.items if type(c) is str or c is n or (c.chars and (c.density >= threshold or c is before))]
+        ok = [c for c in n.parent.items if type(c) is str or c is n or c is before or stays(c, n.parent)]
         here = next(i for i, c in enumerate(ok) if c is n)
         found = [*ok[:here], *found, *ok[here + 1 :]]
         n = n.parent

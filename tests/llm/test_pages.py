@@ -3,6 +3,7 @@ import gzip
 import hashlib
 import io
 import json
+import math
 import struct
 import zipfile
 
@@ -61,6 +62,70 @@ def test_text_beside_the_core():
     assert got[:2] == ["long bare introduction", "Head"] and got[-1] == "long bare end" and len(got) == 9
 
 
+def slow_core(root):
+    """The densest element, each count made anew for each element."""
+
+    def nodes(n):
+        yield n
+        for c in n.items:
+            if isinstance(c, H.Node):
+                yield from nodes(c)
+
+    own = {id(n): (n.chars, n.tags, n.link_chars, n.link_tags) for n in nodes(root)}
+
+    def counts(n):
+        below = [own[id(x)] for x in nodes(n)]
+        chars, tags, links, link_tags = (sum(x) for x in zip(*below, strict=True))
+        return chars, tags + len(below) - 1, min(links, chars), link_tags
+
+    body = counts(root)
+
+    def density(n):
+        chars, tags, links, link_tags = counts(n)
+        if not chars:
+            return 0.0
+        base = 1 + math.log(chars / max(chars - max(links, 1), 1) * links + (body[2] / body[0]) * chars + math.e)
+        return chars / max(tags, 1) * max(0.0, math.log(chars / max(links, 1) * max(tags, 1) / max(link_tags, 1) + 1, base))
+
+    def total(n):
+        children = [density(c) for c in n.items if isinstance(c, H.Node)]
+        return sum(children) if children else density(n)
+
+    every = list(nodes(root))
+    sums = [total(n) for n in every]
+    return every[sums.index(max(sums))]
+
+
+def test_core_of_all_pages():
+    import pyarrow.parquet as pq
+
+    pages = pq.read_table("/root/testdata/sf0.001/pages.parquet").column("html").to_pylist()
+    links = "".join(f"<li><a href='/{i}'>Some link text {i}</a></li>" for i in range(20))
+    pages += [f"<body><div><ul>{links}</ul></div><main><div><p>{'words of a text ' * 40}</p><p>more</p></div><ul>{links}</ul><p>short</p></main>{links}</body>", "x", "<p>a<p>b"]
+    found = []
+    for page in pages:
+        want = slow_core(H.parse(page))  # parsing is deterministic: the same element is found by its way from the top
+        order = H.weigh(H.parse(page))
+        best = H.densest(order)
+
+        def way(n):
+            return () if n.parent is None else (*way(n.parent), [c for c in n.parent.items if isinstance(c, H.Node)].index(n))
+
+        assert way(best) == way(want)
+        found.append(best.tag)
+    assert found.count("article") == len(pages) - 3  # the densest one, not the one of that name
+
+
+def test_parts_of_articles():
+    text = "".join(f"<p>{'A sentence of the text itself, number %d. ' % i * 4}</p>" for i in range(6))
+    links = "".join(f"<li><a href='/{i}'>Some link text {i}</a></li>" for i in range(20))
+    page = f"<body><article><header><div class=meta>by someone</div><h1>Title</h1><a href=/>share</a></header><p>Lead.</p><div class=text>{text}</div><ul>{links}</ul><p>End.</p></article></body>"
+    got = H.main_text(page).split("\n\n")
+    assert got[:2] == ["Title", "Lead."] and got[-1] == "End." and len(got) == 9
+    assert H.main_text("<body><header><h1>Site</h1></header><p>a b c</p></body>") == "a b c"
+    assert H.main_text("<p>a\u00a0&nbsp;b</p>") == "a b"
+
+
 def test_extract(spark):
     rows = [(1, "u", f"<article>{ARTICLE}</article>"), (2, None, None), (2, None, None), (None, "", "<p>x")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'t' as text", "0 as n_chars")
