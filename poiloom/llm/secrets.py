@@ -6,17 +6,24 @@ a run and ends a part elsewhere (NAME=value). A part that mixes '+' or '/' with
 has no encoding: its longest stretches without the one or the other two, and those without
 '/', '-' and '_', are candidates instead. Of reported ones those within another are left out.
 
-- Its encoding is the smallest alphabet that holds it (hex, base32, alphanumeric, base64).
+- Its encoding is the smallest alphabet that holds it (ALPHABETS).
 - Battery: chi-squared test of uniform use of the alphabet, runs test about the alphabet's
-  middle, serial correlation of neighbours. A candidate that any of them rejects as a
-  random string (at BATTERY) is out.
-- What is left gets a p-value against ordinary text: how probable so few equal pairs of
-  characters and so many changes of character class are in a string of that length, with
-  the rates at which they occur in all words of the corpus. Longer strings so need no
-  other rule than shorter ones.
-- Within each class of lengths, over the whole corpus, the step-up rule keeps the expected
-  share of ordinary strings among the reported ones within FDR. It needs only the histogram
-  of p-values by class of length, which is bounded.
+  middle, serial correlation of neighbours. The least of the three p-values is the battery's
+  value; a candidate below BATTERY is out, as no random string.
+- The battery's p-value against ordinary text: the share of ordinary strings of the class of
+  length whose value is as high. These are made of all texts of the corpus, their letters and
+  digits without what stands between, cut into strings of the least length of each class.
+  Longer ordinary strings look less random, so a long candidate needs less than a short one.
+- A second p-value against ordinary text: how probable so many changes between letters and
+  digits are in a string of that length, at the rate at which they occur in the corpus beside
+  base spans and candidates. (Changes of case say less: names of many words have them, too.)
+- Both together are a candidate's evidence. Within each class of lengths, over the whole
+  corpus, the step-up rule keeps the expected share of ordinary strings among the reported
+  ones within FDR. It needs only histograms of bounded size.
+
+Runs of fewer than LEAST_CHARS characters are no candidates: LEAST_CHARS is a parameter of the
+method, as the base patterns' least lengths are. Longer ones are tested as a whole, whatever
+their length, and so are texts.
 
 Places are code points, ends are exclusive. Defined cases: a null text is an empty one and
 gives no span; the digest of no spans is that of the empty string; repeated rows each give
@@ -52,23 +59,39 @@ KINDS = ("assign", "access", "hex", "random")
 BATTERY = 0.001
 #: Expected share of ordinary strings among the reported ones.
 FDR = 0.001
-#: Upper ends of the classes of lengths.
+#: Upper ends of the classes of lengths, and the least length of each.
 LENGTHS = (24, 32, 48, 64, 128)
-#: p-values are counted by -log10 in steps of 1 / STEPS, up to STEPS * DECADES of them.
-STEPS, DECADES = 10, 60
+SHORTEST = (20, 25, 33, 49, 65, 129)
+#: p-values are counted by -log10 in steps of 1 / STEPS, up to STEPS * DECADES of them; the battery's up to STEPS * BATTERY_DECADES.
+STEPS, DECADES, BATTERY_DECADES = 10, 60, 6
 
+LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+#: Alphabets of encodings, each in its order: base 16, 32, 36 in either case, 58, 62, 64 in both forms. Smaller ones stand first.
 ALPHABETS = (
-    "0123456789abcdef",
-    "0123456789ABCDEF",
-    "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
-    "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
-    "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
-    "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
+    DIGITS + "abcdef",
+    DIGITS + "ABCDEF",
+    LOWER + "234567",
+    UPPER + "234567",
+    DIGITS + LOWER,
+    DIGITS + UPPER,
+    "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz",
+    UPPER + LOWER + DIGITS,
+    UPPER + LOWER + DIGITS + "+/",
+    UPPER + LOWER + DIGITS + "-_",
 )
-#: Class of each byte: 1 lower case, 2 upper case, 3 digit, 0 anything else.
-CLASSES = bytes(1 if 97 <= b <= 122 else 2 if 65 <= b <= 90 else 3 if 48 <= b <= 57 else 0 for b in range(256))
-
-CANDIDATE_TYPE = "array<struct<`start`:bigint,`end`:bigint,n:int,pairs:bigint,changes:int,neighbours:int>>"
+#: By byte, a bit for each alphabet that has it; by alphabet and byte, its place there.
+HOLDS = np.array([sum(1 << k for k, a in enumerate(ALPHABETS) if chr(b) in a) for b in range(256)], dtype=np.uint16)
+PLACES = np.array([[max(a.find(chr(b)), 0) for b in range(256)] for a in ALPHABETS], dtype=np.int16)
+#: Class of each byte: 1 letter, 2 digit, 0 anything else.
+CLASSES = bytes(1 if chr(b) in LOWER + UPPER else 2 if chr(b) in DIGITS else 0 for b in range(256))
+NO_LETTER = bytes(b for b in range(256) if not CLASSES[b])
+#: What a batch adds to the corpus's counts: changes between letter and digit, neighbours, candidates that the battery rejects by class of length,
+#: and ordinary strings by class of length and the battery's value.
+VALUES = STEPS * BATTERY_DECADES + 1
+SEEN = 2 + len(SHORTEST) + len(SHORTEST) * VALUES
+
+CANDIDATE_TYPE = "array<struct<`start`:bigint,`end`:bigint,n:int,battery:int,changes:int,neighbours:int>>"
+FIELDS = ("start", "end", "n", "battery", "changes", "neighbours")
 SPAN_TYPE = "array<struct<kind:int,`start`:bigint,`end`:bigint>>"
 
 
@@ -84,38 +107,62 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found, key=lambda s: (s[1], s[0]))
 
 
-def normal_tail(z: float) -> float:
+def normal_tail(z: np.ndarray) -> np.ndarray:
     """P(Z >= z)."""
-    return 0.5 * math.erfc(z / math.sqrt(2))
-
-
-def looks_random(token: str) -> bool:
-    """Whether no test of the battery rejects that token is random in its encoding."""
-    body = token.rstrip("=")
-    n = len(body)
-    own = set(body)
-    alphabet = next((a for a in ALPHABETS if own <= set(a)), None)
-    if alphabet is None or n < LEAST_CHARS - 2:
-        return False
-    size = len(alphabet)
-    value = np.fromiter(map(alphabet.index, body), dtype=np.int64, count=n)
-    counts = np.bincount(value, minlength=size)
-    square = float((counts**2).sum()) * size / n - n
+    return np.array([0.5 * math.erfc(x / math.sqrt(2)) for x in z.tolist()])
+
+
+def battery(rows: np.ndarray) -> np.ndarray:
+    """The least p-value of the tests that each row of bytes is random in its encoding; 0 if no alphabet holds it."""
+    found = np.zeros(len(rows))
+    holds = np.bitwise_and.reduce(HOLDS[rows], axis=1)
+    n = rows.shape[1]
+    for k, alphabet in enumerate(ALPHABETS):
+        at = np.flatnonzero((holds & -holds.astype(np.int32)) == 1 << k)
+        if len(at):
+            found[at] = tests(PLACES[k][rows[at]].astype(np.int64), len(alphabet), n)
+    return found
+
+
+def tests(value: np.ndarray, size: int, n: int) -> np.ndarray:
+    """Least p-value of the three tests, for rows of n places in an alphabet of size."""
+    total = len(value)
+    counts = np.bincount((np.arange(total)[:, None] * size + value).ravel(), minlength=total * size).reshape(total, size)
+    square = (counts.astype(float) ** 2).sum(axis=1) * size / n - n
     uniform = normal_tail((square - (size - 1)) / math.sqrt(2 * (size - 1) * (n - 1) / n))
     high = value >= size // 2
-    ups = int(high.sum())
-    downs = n - ups
-    if not ups or not downs:
-        return False
-    mean = 2 * ups * downs / n + 1
+    ups = high.sum(axis=1).astype(float)
+    mean = 2 * ups * (n - ups) / n + 1
     spread = (mean - 1) * (mean - 2) / (n - 1)
-    runs = 1 + int((high[1:] != high[:-1]).sum())
-    runs_p = 2 * normal_tail(abs(runs - mean) / math.sqrt(spread)) if spread > 0 else 0.0
-    off = value - value.mean()
-    scale = float((off**2).sum())
-    serial = float((off[1:] * off[:-1]).sum()) / scale if scale else 1.0
-    serial_p = 2 * normal_tail(abs(serial + 1 / n) * math.sqrt(n))
-    return min(uniform, runs_p, serial_p) >= BATTERY
+    runs = 1 + (high[:, 1:] != high[:, :-1]).sum(axis=1)
+    usable = spread > 0
+    runs_p = np.zeros(total)
+    runs_p[usable] = 2 * normal_tail(np.abs(runs - mean)[usable] / np.sqrt(spread[usable]))
+    off = value - value.mean(axis=1, keepdims=True)
+    scale = (off**2).sum(axis=1)
+    serial = np.where(scale > 0, (off[:, 1:] * off[:, :-1]).sum(axis=1) / np.where(scale > 0, scale, 1), 1.0)
+    serial_p = 2 * normal_tail(np.abs(serial + 1 / n) * math.sqrt(n))
+    return np.minimum(np.minimum(uniform, runs_p), serial_p)
+
+
+def battery_step(p: np.ndarray) -> np.ndarray:
+    """-log10 of the battery's value in whole steps, the last one for all beyond."""
+    return np.minimum(-np.log10(np.maximum(p, 1e-300)) * STEPS, VALUES - 1).astype(np.int64)
+
+
+def ordinary(raw: bytes) -> np.ndarray:
+    """How many ordinary strings of each class of length have each value of the battery."""
+    found = np.zeros((len(SHORTEST), VALUES), dtype=np.int64)
+    letters = np.frombuffer(raw.translate(None, NO_LETTER), dtype=np.uint8)
+    turn = sum(SHORTEST)
+    for i in range(0, len(letters) - turn + 1, 1024 * turn):
+        rows = letters[i : i + 1024 * turn]
+        rows = rows[: len(rows) // turn * turn].reshape(-1, turn)
+        at = 0
+        for k, n in enumerate(SHORTEST):
+            found[k] += np.bincount(battery_step(battery(rows[:, at : at + n])), minlength=VALUES)
+            at += n
+    return found
 
 
 def parts(run: str) -> list[tuple[int, int]]:
@@ -128,26 +175,28 @@ def parts(run: str) -> list[tuple[int, int]]:
     return sorted(found, key=lambda s: (s[0], -s[1]))
 
 
-def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int, int]]:
-    """(start, end, length, equal pairs, class changes, neighbours compared) of candidates that pass the battery."""
-    found = []
+def candidates(text: str, base: list[tuple[int, int, int]]) -> tuple[list[tuple[int, ...]], np.ndarray]:
+    """FIELDS of candidates that pass the battery, and how many don't by class of length."""
+    found, failed = [], np.zeros(len(SHORTEST), dtype=np.int64)
     for m in CANDIDATE.finditer(text):
         for a, b in parts(m[0]):
-            start, end, token = m.start() + a, m.start() + b, m[0][a:b]
-            if any(s < end and start < e for _, s, e in base) or not looks_random(token):
+            start, end = m.start() + a, m.start() + b
+            raw = m[0][a:b].rstrip("=").encode()
+            if any(s < end and start < e for _, s, e in base) or len(raw) < LEAST_CHARS - 2:
                 continue
-            raw = token.rstrip("=").encode()
-            counts = np.bincount(np.frombuffer(raw, dtype=np.uint8))
-            changes, compared = class_changes(raw)
-            found.append((start, end, len(raw), int((counts * (counts - 1)).sum()) // 2, changes, compared))
-    return found
+            p = battery(np.frombuffer(raw, dtype=np.uint8)[None, :])
+            if p[0] < BATTERY:
+                failed[length_class(len(raw))] += 1
+                continue
+            found.append((start, end, len(raw), int(battery_step(p)[0]), *class_changes(raw)))
+    return found, failed
 
 
 def class_changes(raw: bytes) -> tuple[int, int]:
-    """Neighbouring letters and digits of different classes, and all neighbouring letters and digits."""
+    """Neighbours of which one is a letter and one a digit, and all neighbours of letters and digits."""
     c = np.frombuffer(raw.translate(CLASSES), dtype=np.uint8)
     both = (c[1:] > 0) & (c[:-1] > 0)
-    return int((both & (c[1:] != c[:-1])).sum()), int(both.sum())
+    return int((both & ((c[1:] == 2) != (c[:-1] == 2))).sum()), int(both.sum())
 
 
 def scan(docs: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -156,52 +205,69 @@ def scan(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     d = own_names(docs, key, "text")
     schema = f"`{key}` {d.schema[key].dataType.simpleString()}, base {SPAN_TYPE}, found {CANDIDATE_TYPE}, seen array<bigint>"
     base_type = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))
-    found_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("n", pa.int32()), ("pairs", pa.int64()), ("changes", pa.int32()), ("neighbours", pa.int32())]))
+    found_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("n", pa.int32()), ("battery", pa.int32()), ("changes", pa.int32()), ("neighbours", pa.int32())]))
 
     def look(batches):
         for batch in batches:
             base, found = [], []
-            counts, changes, compared = np.zeros(256, dtype=np.int64), 0, 0
+            changes, failed = np.zeros(2, dtype=np.int64), np.zeros(len(SHORTEST), dtype=np.int64)
+            texts = []
             for text in batch.column(1):
                 text = text.as_py() or ""
                 own = base_spans(text)
                 raw = text.encode()
+                texts.append(raw)
                 base.append([dict(zip(("kind", "start", "end"), s, strict=True)) for s in own])
                 long = max(map(len, raw.split()), default=0) >= LEAST_CHARS
-                found.append([dict(zip(("start", "end", "n", "pairs", "changes", "neighbours"), c, strict=True)) for c in (candidates(text, own) if long else [])])
-                counts += np.bincount(np.frombuffer(raw, dtype=np.uint8), minlength=256)
+                passed, not_passed = candidates(text, own) if long else ([], 0)
+                failed += not_passed
+                found.append([dict(zip(FIELDS, c, strict=True)) for c in passed])
                 if raw:
-                    a, b = class_changes(raw)
-                    changes, compared = changes + a, compared + b
-            counts[np.frombuffer(CLASSES, dtype=np.uint8) == 0] = 0
-            seen = [[*counts.tolist(), changes, compared], *[None] * (batch.num_rows - 1)] if batch.num_rows else []
+                    changes += class_changes(raw)
+                    # what may be a secret itself is no ordinary text
+                    last = 0
+                    for start, end in sorted([x[1:3] for x in own] + [x[:2] for x in passed], key=lambda x: (x[0], -x[1])):
+                        if start >= last:
+                            changes -= class_changes(text[start:end].encode())
+                            last = end
+            counts = [*changes.tolist(), *failed.tolist(), *ordinary(b"".join(texts)).ravel().tolist()]
+            seen = [counts, *[None] * (batch.num_rows - 1)] if batch.num_rows else []
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(base, base_type), pa.array(found, found_type), pa.array(seen, pa.list_(pa.int64()))], names=[key, "base", "found", "seen"])
 
     return d.mapInArrow(look, schema)
 
 
-def rates(scanned: DataFrame) -> tuple[float, float, float]:
-    """Of all texts: probability that two letters or digits are equal, that three are, and that neighbours differ in class."""
+def rates(scanned: DataFrame) -> tuple[float, list[int], list[list[float]]]:
+    """Of the corpus: how often neighbours are a letter and a digit, rejected candidates by class of length, and shares of ordinary
+    strings by class of length whose value of the battery is as high as each."""
     rows = scanned.where("seen is not null").select(F.posexplode("seen").alias("i", "n")).groupBy("i").agg(F.sum("n").alias("n")).collect()
-    seen = np.zeros(258, dtype=float)
+    seen = np.zeros(SEEN, dtype=np.int64)
     for r in rows:
         seen[r["i"]] = r["n"]
-    share = seen[:256] / max(1.0, seen[:256].sum())
-    return float((share**2).sum()), float((share**3).sum()), float((seen[256] + 1) / (seen[257] + 2))
-
-
-def evidence(n: int, pairs: int, changes: int, neighbours: int, two: float, three: float, change: float) -> float:
-    """-log10 of the p-value against ordinary text, both tests together, in steps of 1 / STEPS rounded down."""
-    all_pairs = n * (n - 1) / 2
-    spread = all_pairs * two * (1 - two) + n * (n - 1) * (n - 2) * max(0.0, three - two * two)
-    few = normal_tail((all_pairs * two - pairs - 0.5) / math.sqrt(spread)) if spread > 0 else 1.0
-    # the binomial tail from `changes` on, bounded from above by its exponential bound
-    x = changes / neighbours if neighbours else 0.0
-    many = 1.0
-    if x > change:
-        apart = x * math.log(x / change) + ((1 - x) * math.log((1 - x) / (1 - change)) if x < 1 else 0.0)
-        many = math.exp(-min(700.0, neighbours * apart))
-    log = -(math.log(max(few, 1e-300)) + math.log(max(many, 1e-300)))
+    classes = len(SHORTEST)
+    counts = seen[2 + classes :].reshape(classes, VALUES)
+    shares = (np.cumsum(counts, axis=1) + 1) / (counts.sum(axis=1, keepdims=True) + 1)
+    return float((seen[0] + 1) / (seen[1] + 2)), seen[2 : 2 + classes].tolist(), shares.tolist()
+
+
+def binomial_tail(hits: int, trials: int, p: float) -> float:
+    """The natural logarithm of P(X >= hits)."""
+    if hits <= trials * p:
+        return 0.0
+    log = math.lgamma(trials + 1) - math.lgamma(hits + 1) - math.lgamma(trials - hits + 1) + hits * math.log(p) + (trials - hits) * math.log1p(-p)
+    total = term = 1.0
+    for k in range(hits, trials):  # terms fall faster than a geometric series, as hits is above the mean
+        term *= (trials - k) / (k + 1) * p / (1 - p)
+        total += term
+        if term < 1e-12 * total:
+            break
+    return min(0.0, log + math.log(total))
+
+
+def evidence(n: int, step: int, changes: int, neighbours: int, change: float, shares: list[list[float]]) -> float:
+    """-log10 of the p-value against ordinary text, battery and class changes together, in steps of 1 / STEPS rounded down."""
+    random = shares[length_class(n)][step]
+    log = -math.log(max(random, 1e-300)) - binomial_tail(changes, neighbours, change)
     # two p-values together: P(product <= theirs) = product * (1 + log), for independent ones
     return math.floor(max(0.0, log - math.log1p(log)) / math.log(10) * STEPS) / STEPS
 
@@ -210,12 +276,8 @@ def length_class(n: int) -> int:
     return sum(n > x for x in LENGTHS)
 
 
-def thresholds(scanned: DataFrame, known: tuple[float, float, float]) -> dict[int, float]:
+def thresholds(scanned: DataFrame, change: float, failed: list[int], shares: list[list[float]]) -> dict[int, float]:
     """Least evidence of a reported candidate, by class of length."""
-
-    def measure(n, pairs, changes, neighbours):
-        return evidence(n, pairs, changes, neighbours, *known)
-
     c = scanned.where("size(found) > 0").select(F.explode("found").alias("c")).select("c.*")
     names = ["cls", "step", "n"]
 
@@ -223,12 +285,14 @@ def thresholds(scanned: DataFrame, known: tuple[float, float, float]) -> dict[in
         for batch in batches:
             own: dict = {}
             for r in batch.to_pylist():
-                k = length_class(r["n"]), min(int(measure(r["n"], r["pairs"], r["changes"], r["neighbours"]) * STEPS + 0.5), STEPS * DECADES)
+                e = evidence(r["n"], r["battery"], r["changes"], r["neighbours"], change, shares)
+                k = length_class(r["n"]), min(int(e * STEPS + 0.5), STEPS * DECADES)
                 own[k] = own.get(k, 0) + 1
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in own], pa.int32()), pa.array([k[1] for k in own], pa.int32()), pa.array(list(own.values()), pa.int64())], names=names)
 
     rows = c.mapInArrow(count, "cls int, step int, n long").groupBy("cls", "step").agg(F.sum("n").alias("n")).collect()
-    return step_up([(r["cls"], r["step"], r["n"]) for r in rows])
+    # rejected candidates are tested ones, too, with a p-value of 1
+    return step_up([(r["cls"], r["step"], r["n"]) for r in rows] + [(k, 0, n) for k, n in enumerate(failed) if n])
 
 
 def step_up(rows: list[tuple[int, int, int]]) -> dict[int, float]:
@@ -248,23 +312,23 @@ def digest(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in spans)
 
 
-def reported(base: list[Row], found: list[Row], known: tuple[float, float, float], least: dict[int, float]) -> list[tuple[int, int, int]]:
+def reported(base: list[Row], found: list[Row], known: tuple[float, list[list[float]]], least: dict[int, float]) -> list[tuple[int, int, int]]:
     """Base spans and those candidates whose evidence is enough, by start, then kind."""
     spans = [(b["kind"], b["start"], b["end"]) for b in base]
     last = 0
     for c in sorted(found, key=lambda c: (c["start"], -c["end"])):
         need = least.get(length_class(c["n"]))
         # one that ends no later than an earlier one stands within it
-        if c["end"] > last and need is not None and evidence(c["n"], c["pairs"], c["changes"], c["neighbours"], *known) >= need:
+        if c["end"] > last and need is not None and evidence(c["n"], c["battery"], c["changes"], c["neighbours"], *known) >= need:
             spans.append((3, c["start"], c["end"]))
             last = c["end"]
     return sorted(spans, key=lambda s: (s[1], s[0]))
 
 
-def learn(scanned: DataFrame) -> tuple[tuple[float, float, float], dict[int, float]]:
+def learn(scanned: DataFrame) -> tuple[tuple[float, list[list[float]]], dict[int, float]]:
     """What reporting needs from the whole corpus."""
-    known = rates(scanned)
-    return known, thresholds(scanned, known)
+    change, failed, shares = rates(scanned)
+    return (change, shares), thresholds(scanned, change, failed, shares)
 
 
 def find_secrets(docs: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -315,8 +379,7 @@ def redacted_documents(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
             for text in batch.column(at).to_pylist():
                 if text:
                     base = base_spans(text)
-                    keys = ("start", "end", "n", "pairs", "changes", "neighbours")
-                    found = [dict(zip(keys, c, strict=True)) for c in candidates(text, base)] if max(map(len, text.encode().split()), default=0) >= LEAST_CHARS else []
+                    found = [dict(zip(FIELDS, c, strict=True)) for c in candidates(text, base)[0]] if max(map(len, text.encode().split()), default=0) >= LEAST_CHARS else []
                     spans = reported([dict(zip(("kind", "start", "end"), b, strict=True)) for b in base], found, known, least)
                     text = redact(text, spans, mark) if spans else text
                 new.append(text)

@@ -1,8 +1,12 @@
 import base64
 import hashlib
+import math
 import random
 import re
 
+import numpy as np
+import pytest
+
 from poiloom.llm import secrets as S
 
 PATTERNS = [
@@ -47,6 +51,43 @@ def test_random_strings_are_found(spark, rows):
     assert texts[hits[0]][int(start) : int(end)] == planted[hits[0]]
 
 
+@pytest.mark.parametrize("length", [20, 32, 64])
+def test_every_encoding(spark, length):
+    """Of random strings in each encoding 9 of 10 are found among texts with long words, numbers, names and paths, of which none is."""
+    rng = random.Random(length)
+    texts_ = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect() if r.text and len(r.text) > 600 and not re.search("[0-9]", r.text)]
+    some = lambda n: rng.choice(texts_)[:n]
+    plain = ["Donaudampfschifffahrtsgesellschaft", "usr/local/share/documents/readme", "get_user_name_from_session", "12345678901234567890", "2024-01-01-some-title-of-a-page", "zzzzzzzzzzzzzzzzzzzzzzzzzz", "GeneralInformationPageOfTheLibrary", "internationalization-guide"]
+    texts, encodings = [], []
+    for k, alphabet in enumerate(S.ALPHABETS):
+        for _ in range(40):
+            token = "".join(rng.choice(alphabet) for _ in range(length))
+            texts.append(f"{some(3000)} {token} {some(100)}")
+            encodings.append(k)
+    texts += [f"{some(3000)} {x} {some(100)}" for x in plain * 10]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    hit = {r.doc_id: r.spans for r in S.find_secrets(df).collect()}
+    # base 16 in lower case from 24 characters on is a fixed pattern
+    for k in range(len(S.ALPHABETS)):
+        assert sum(bool(hit[i]) for i, e in enumerate(encodings) if e == k) >= 36, S.ALPHABETS[k]
+    assert [x for i, x in enumerate(plain) if hit[len(encodings) + i]] == []
+
+
+def test_battery_of_random_strings():
+    # all three tests together reject hardly any random string, and text nearly always
+    rng = np.random.default_rng(2)
+    for alphabet in S.ALPHABETS:
+        own = np.frombuffer(alphabet.encode(), dtype=np.uint8)
+        for n in (20, 40, 200):
+            p = S.battery(own[rng.integers(0, len(own), (2000, n))])
+            assert (p < S.BATTERY).mean() < 0.03
+    text = np.frombuffer(b"itwasabrightcolddayinaprilandtheclockswerestrikingthirteen" * 4, dtype=np.uint8)[None, :]
+    assert S.battery(text)[0] < 1e-6 and S.battery(np.frombuffer(("é" * 10).encode(), dtype=np.uint8)[None, :])[0] == 0
+    # each row for itself
+    rows = np.stack([own[rng.integers(0, len(own), 30)] for own in (np.frombuffer(a.encode(), dtype=np.uint8) for a in S.ALPHABETS)])
+    assert np.allclose(S.battery(rows), [S.battery(r[None, :])[0] for r in rows])
+
+
 def test_keys_behind_names_and_paths(spark, rows):
     rng = random.Random(6)
     key = lambda more="": "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789" + more) for _ in range(40))
@@ -78,6 +119,12 @@ def test_parts():
     assert S.parts("a_b/" + "K" * 20 + "==") == [(2, 26), (4, 26)]
 
 
+def test_binomial_tail():
+    for hits, trials, p in ((3, 10, 0.1), (10, 10, 0.2), (0, 5, 0.5), (40, 300, 0.02), (1, 4, 0.5), (0, 0, 0.1)):
+        want = sum(math.comb(trials, k) * p**k * (1 - p) ** (trials - k) for k in range(hits, trials + 1))
+        assert S.binomial_tail(hits, trials, p) == (pytest.approx(math.log(want)) if hits > trials * p else 0)
+
+
 def test_step_up():
     assert S.step_up([(0, 100, 5), (0, 10, 1), (0, 0, 94)]) == {0: 10.0}
     assert S.step_up([(0, 0, 10)]) == {}
