@@ -18,7 +18,7 @@ def counts(text):
 
 
 def test_counts(docs, rows, empty):
-    got = {r[0]: tuple(r)[1:] for r in Q.with_counts(docs, "doc_id").collect()}
+    got = {r[0]: tuple(r)[1:-1] for r in Q.with_counts(docs, "doc_id").collect()}
     assert got == {r[0]: counts(r[1]) for r in rows}
     assert Q.with_counts(empty, "doc_id").count() == 0
 
@@ -68,5 +68,51 @@ def test_bound(x, n, error):
 
 def test_choose_stops_at_first_failure():
     L = Q.LEVELS
-    seen = [("a", False, 1, L, 5000), ("a", False, 1, 3, 500), ("a", True, 0, 0, 10), ("a", True, 0, 2, 90), ("b", False, 1, L, 5)]
-    assert Q.choose(seen) == {"a": 2}
+    assert Q.choose([(False, 1, L, 5000), (False, 1, 3, 500), (True, 0, 0, 10), (True, 0, 2, 90)], 2) == 2
+    assert Q.choose([(False, 1, L, 5)], 2) is None
+
+
+def test_kept_by_loops(spark, monkeypatch):
+    """Paths, levels and verdicts made anew by loops over the labelled documents."""
+    monkeypatch.setattr(Q, "ALLOWED", 0.04)  # some level is certified with so few labels
+    from pyspark.sql import functions as F
+
+    docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    # few strata with many labels, so that some level is certified
+    docs = docs.withColumn("lang", F.when(F.col("doc_id") % 4 > 0, F.lit("a")))
+    more = docs.unionByName(docs.withColumns({"doc_id": F.col("doc_id") + 10**6, "text": F.concat("text", F.lit(" end"))}))
+    for k in range(4):
+        more = more.unionByName(docs.withColumns({"doc_id": F.col("doc_id") + 10**7 * (k + 1), "text": F.concat("text", F.lit(f" tail{k}"))}))
+    own = labels.select("doc_id", "quality")
+    every = own
+    for shift in (10**6, *(10**7 * (k + 1) for k in range(4))):
+        every = every.unionByName(own.select((F.col("doc_id") + shift).alias("doc_id"), "quality"))
+    counted = Q.ruled(Q.with_counts(more, "doc_id", "lang")).withColumn("first", F.pmod(F.xxhash64(F.lit(7), F.col(Q.HASH)), F.lit(2)) == 0).collect()
+    label = {r.doc_id: r.quality for r in every.collect()}
+    names = Q.rules_names()
+    cut: dict = {}
+    for lang in ("a", None):
+        mine = [r for r in counted if r.lang == lang and not r.base_failed and label.get(r.doc_id) in (0, 1)]
+        good = [r for r in mine if r.first and label[r.doc_id] == 1]
+        bad = [r for r in mine if r.first and label[r.doc_id] == 0]
+        paths = {}
+        for n in names:
+            values = sorted({r[n] for r in good + bad})
+            path = [min(v for v in values if sum(r[n] > v for r in good) <= len(good) * (Q.ALLOWED * k / Q.LEVELS)) for k in range(Q.LEVELS)]
+            lost = sum(r[n] > path[-1] for r in bad)
+            if bad and Q.lower_bound(lost, len(bad), 1 - Q.USEFUL) > Q.ALLOWED:
+                paths[n] = path
+        level = lambda r: min([next((k for k, v in enumerate(p) if r[n] > v), Q.LEVELS) for n, p in paths.items()], default=Q.LEVELS)  # noqa: B023, E731
+        held = [level(r) for r in mine if not r.first and label[r.doc_id] == 1]
+        certified = -1
+        for k in range(Q.LEVELS):
+            if Q.upper_bound(sum(x <= k for x in held), len(held), Q.ERROR / 2) > Q.ALLOWED:
+                break
+            certified = k
+        gone = [level(r) for r in bad]
+        take = next((k for k in range(Q.LEVELS) if sum(x <= k for x in gone) >= Q.NEARLY * sum(x <= certified for x in gone)), None) if certified >= 0 else None
+        cut[lang] = (take, level, paths)
+    want = {r.doc_id: not r.base_failed and (cut[r.lang][0] is None or cut[r.lang][1](r) > cut[r.lang][0]) for r in counted}
+    got = {r.doc_id: r.kept for r in Q.quality_rules(more, every).collect()}
+    assert cut["a"][2] and cut["a"][0] is not None
+    assert got == want
