@@ -5,28 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from poiloom.llm.common import stored
+from poiloom.llm.common import spread_join, stored
 
 
-def _large(e: DataFrame) -> DataFrame:
+def _large(e: DataFrame, total: int) -> DataFrame:
     """Each node's larger neighbours are tied to the smallest node around it."""
     both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n"))
+    return spread_join(both, least, ["u"], "n", 2 * total).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small(e: DataFrame) -> DataFrame:
+def _small(e: DataFrame, total: int) -> DataFrame:
     """Each node and its smaller neighbours are tied to the smallest of them."""
-    least = e.groupBy("u").agg(F.min("v").alias("m"))
-    tied = e.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = e.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+    tied = spread_join(e, least, ["u"], "n", total).where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return tied.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """Stored rows (node, root) for every node of edges (u, v); root is the component's smallest node.
 
-    Rounds grow with the logarithm of a component's longest path. A node with very many
-    edges is a skewed key of small rows; aggregates before each join keep one row per node.
+    Nodes are of any type that has an order. Rounds grow with the logarithm of a component's
+    longest path. A node with very many edges is a hot key of small rows: those are not
+    gathered, the node's one row goes to them.
     """
     e = stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     before = None
@@ -35,6 +36,6 @@ def components(edges: DataFrame) -> DataFrame:
         if now == before or not now[0]:
             break
         before = now
-        e = stored(_small(_large(e).distinct()), "edges")
+        e = stored(_small(_large(e, now[0]).distinct(), now[0]), "edges")
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return stored(e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots), "components")

@@ -17,8 +17,14 @@ A document is the bag of its runs of WIDTH words; how often a run occurs is its
    classes is lost.
 4. Classes are connected components of links.
 
+A node is an id together with a hash of its text, so rows with equal ids and different texts
+are documents of their own. No key's rows are gathered in one task: a bucket that many
+documents share, a leader of many and a node of many links get their one row to where the
+others are (common.spread_join), and a leader's text goes once to each chunk of its partners.
+
 Defined cases: a null text has no words; texts of 1 to WIDTH - 1 words are one run; texts
-without words are equal; rows with equal ids count as one document; a null id is left
+without words are equal; a text of any length is compared as a whole, in one task; ids are of
+any type that has an order; rows with equal ids and texts are one document; a null id is left
 without class (null); an empty table gives an empty result.
 """
 
@@ -32,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from poiloom.llm import words as W
-from poiloom.llm.common import own_names, small_batches, stored
+from poiloom.llm.common import own_names, small_batches, spread_join, stored
 from poiloom.llm.components import components
 
 WIDTH, ALIKE = 5, 0.8
@@ -44,6 +50,8 @@ DOC_BITS = 16
 #: Points are first made up to the time REGISTERS * (ln REGISTERS + SPARE) / weight: one register in
 #: exp(SPARE) documents is still empty then.
 SPARE = 3.0
+#: Partners in a chunk that gets its leader's text once, and the most chunks of a leader.
+CHUNK, MOST_CHUNKS = 256, 4096
 #: Bits of the fixed-size filter that keeps unneeded texts out of the verification's shuffle.
 FILTER_BITS = 23
 
@@ -143,10 +151,15 @@ def bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return run, weight
 
 
+def with_node(docs: DataFrame) -> DataFrame:
+    """node (id and hash of the text) and text of the documents that have an id."""
+    return own_names(docs, "doc_id", "text").where("doc_id is not null").select(F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash")).alias("node"), "text")
+
+
 def signed(docs: DataFrame) -> DataFrame:
-    """doc_id, h1, h2 (of its words in order), keys (of its bands) of every document."""
+    """node, h1, h2 (of its words in order), keys (of its bands) of every document."""
     small_batches(docs.sparkSession)
-    d = own_names(docs, "doc_id", "text").where("doc_id is not null")
+    d = with_node(docs)
 
     def sign(batches):
         from xxhash import xxh3_128_digest
@@ -158,41 +171,59 @@ def signed(docs: DataFrame) -> DataFrame:
             some = np.array([len(x) > 0 for x in lists], dtype=bool)
             ends = np.concatenate([[0], np.cumsum(some * BANDS)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(same[:, 0].copy()), pa.array(same[:, 1].copy()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys[some].ravel()))], names=["doc_id", "h1", "h2", "keys"]
+                [batch.column(0), pa.array(same[:, 0].copy()), pa.array(same[:, 1].copy()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys[some].ravel()))], names=["node", "h1", "h2", "keys"]
             )
 
-    kind = d.schema["doc_id"].dataType.simpleString()
-    return d.mapInArrow(sign, f"doc_id {kind}, h1 long, h2 long, keys array<long>")
+    return d.mapInArrow(sign, f"node {d.schema['node'].dataType.simpleString()}, h1 long, h2 long, keys array<long>")
 
 
-def needed_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """id and text of the documents in ids (id). Most others are kept out before the shuffle, by a filter of fixed size."""
-    place = F.xxhash64("id").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    words = ids.select(F.shiftright(place, 6).alias("w"), F.expr("shiftleft(1L, cast(xxhash64(id) & 63 as int))").alias("bit")).groupBy("w").agg(F.bit_or("bit").alias("bits"))
-    all_ = docs.where("doc_id is not null").select(F.col("doc_id").alias("id"), "text")
+def needed_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node and text of the documents in nodes (node). Most others are kept out before the shuffle, by a filter of fixed size."""
+    place = F.xxhash64("node").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    words = nodes.select(F.shiftright(place, 6).alias("w"), F.expr("shiftleft(1L, cast(xxhash64(node) & 63 as int))").alias("bit")).groupBy("w").agg(F.bit_or("bit").alias("bits"))
     # at most 2 ** (FILTER_BITS - 6) rows
-    maybe = all_.withColumn("w", F.shiftright(place, 6)).join(F.broadcast(words), "w").where("(bits & shiftleft(1L, cast(xxhash64(id) & 63 as int))) <> 0")
-    return maybe.join(ids, "id", "left_semi").select("id", "text").dropDuplicates(["id"])
+    maybe = with_node(docs).withColumn("w", F.shiftright(place, 6)).join(F.broadcast(words), "w").where("(bits & shiftleft(1L, cast(xxhash64(node) & 63 as int))) <> 0")
+    return maybe.join(nodes, "node", "left_semi").select("node", "text").dropDuplicates(["node"])
 
 
 def verified(docs: DataFrame, pairs: DataFrame, alike: float = ALIKE) -> DataFrame:
-    """pairs (u, v) with linked: whether their texts are alike."""
-    ids = stored(pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).distinct(), "needed")
-    texts = stored(needed_texts(docs, ids), "texts")
-    full = pairs.join(texts.select(F.col("id").alias("u"), F.col("text").alias("tu")), "u").join(texts.select(F.col("id").alias("v"), F.col("text").alias("tv")), "v").select("u", "v", "tu", "tv")
+    """pairs (u, v) with linked: whether their texts are alike.
+
+    Of a pair the document with more partners is the leader, the other one its partner.
+    Partners are dealt out in chunks; a chunk gets its leader's text once, and a partner's
+    text as often as it has leaders.
+    """
+    both = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node")))
+    needed = stored(both.groupBy("node").agg(F.count(F.lit(1)).alias("n")), "needed")
+    texts = stored(needed_texts(docs, needed.select("node")), "texts")
+    total = needed.agg(F.sum("n")).first()[0] or 0
+    of_u = spread_join(pairs.select("u", "v"), needed.select(F.col("node").alias("u"), "n", F.col("n").alias("n_u")), ["u"], "n", total)
+    of_both = spread_join(of_u, needed.select(F.col("node").alias("v"), "n", F.col("n").alias("n_v")), ["v"], "n", total)
+    u_leads = (F.col("n_u") > F.col("n_v")) | ((F.col("n_u") == F.col("n_v")) & (F.col("u") < F.col("v")))
+    most = F.greatest("n_u", "n_v")
+    chunks = F.least(F.ceil(most / CHUNK), F.lit(MOST_CHUNKS))
+    dealt = of_both.select(F.when(u_leads, F.col("u")).otherwise(F.col("v")).alias("leader"), F.when(u_leads, F.col("v")).otherwise(F.col("u")).alias("node"), chunks.alias("chunks"))
+    dealt = stored(dealt.withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks").cast("int")).drop("chunks"), "dealt")
+    partners = dealt.join(texts, "node").select("leader", "chunk", F.lit(1).alias("kind"), "node", "text")
+    leaders = dealt.select(F.col("leader").alias("node"), "chunk").distinct().join(texts, "node").select(F.col("node").alias("leader"), "chunk", F.lit(0).alias("kind"), "node", "text")
+    rows = leaders.unionByName(partners).repartition("leader", "chunk").sortWithinPartitions("leader", "chunk", "kind")
     kind = pairs.schema["u"].dataType.simpleString()
 
     def compare(batches):
-        last_v, bag_v = None, None
+        own = None
         for batch in batches:
-            out = []
-            for v, tu, tv in zip(batch.column("v").to_pylist(), batch.column("tu").to_pylist(), batch.column("tv").to_pylist(), strict=True):
-                if bag_v is None or v != last_v:
-                    last_v, bag_v = v, bag(tv)
-                out.append(likeness(bag(tu), bag_v) >= alike - 1e-12)
-            yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v"), pa.array(out, pa.bool_())], names=["u", "v", "linked"])
+            out, at = [], []
+            for i, (what, text) in enumerate(zip(batch.column("kind").to_pylist(), batch.column("text").to_pylist(), strict=True)):
+                if not what:
+                    own = bag(text)  # a leader comes before its chunk's partners
+                else:
+                    at.append(i)
+                    out.append(likeness(bag(text), own) >= alike - 1e-12)
+            part = batch.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([part.column("leader"), part.column("node"), pa.array(out, pa.bool_())], names=["a", "b", "linked"])
 
-    return stored(full.mapInArrow(compare, f"u {kind}, v {kind}, linked boolean"), "verified")
+    found = rows.mapInArrow(compare, f"a {kind}, b {kind}, linked boolean")
+    return stored(found.select(*ordered("a", "b"), "linked"), "verified")
 
 
 def ordered(a: str, b: str) -> list:
@@ -200,16 +231,18 @@ def ordered(a: str, b: str) -> list:
 
 
 def band_members(own: DataFrame) -> DataFrame:
-    """key, doc_id, n (members of the key's bucket) and the bucket's leaders a (smallest id) and b.
+    """key, node, n (members of the key's bucket) and the bucket's leaders a (smallest node) and b.
 
     b is the member with most companions in all its buckets: of an original and its edited
     copies that is the original, near which most others are.
     """
-    sizes = own.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = stored(own.join(sizes, "key"), "shared-bands")
-    companions = shared.groupBy("doc_id").agg(F.sum("n").alias("companions"))
-    lead = shared.join(companions, "doc_id").groupBy("key").agg(F.min("doc_id").alias("a"), F.max_by("doc_id", F.struct("companions", -F.col("doc_id"))).alias("b"))
-    return stored(shared.join(lead, "key"), "members")
+    sizes = stored(own.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").withColumn("n", F.col("rows")), "buckets")
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    shared = stored(spread_join(own, sizes, ["key"], "rows", total).where("n is not null"), "shared-bands")
+    companions = shared.groupBy("node").agg(F.sum("n").alias("companions"))
+    most = F.min(F.struct((-F.col("companions")).alias("c"), "node"))["node"]
+    lead = shared.join(companions, "node").groupBy("key").agg(F.min("node").alias("a"), most.alias("b"), F.count(F.lit(1)).alias("rows"))
+    return stored(spread_join(shared, lead, ["key"], "rows", total), "members")
 
 
 def untried_pairs(docs: DataFrame, members: DataFrame, classes: DataFrame, alike: float) -> DataFrame:
@@ -222,10 +255,11 @@ def untried_pairs(docs: DataFrame, members: DataFrame, classes: DataFrame, alike
     unlike its original is its own runs, and they are rare: few pairs come of it, however
     many copies meet in a bucket.
     """
-    placed = members.where("n >= 3").join(classes, members["doc_id"] == classes["node"], "left").select("key", F.col("doc_id").alias("id"), F.coalesce("root", "doc_id").alias("root"))
-    mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    open_ = stored(placed.join(mixed, "key", "left_semi").select("id", "root").distinct(), "open")
-    texts = needed_texts(docs, open_.select("id"))
+    placed = members.where("n >= 3").join(classes, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    placed = stored(placed, "placed")
+    mixed = stored(placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("rows")).where("low <> high").select("key", "rows", F.lit(True).alias("mixed")), "mixed")
+    open_ = stored(spread_join(placed, mixed, ["key"], "rows", mixed.agg(F.sum("rows")).first()[0] or 0).where("mixed").select(F.col("node").alias("id"), "root").distinct(), "open")
+    texts = needed_texts(docs, open_.select(F.col("id").alias("node"))).withColumnRenamed("node", "id")
     span = open_.groupBy("root").agg(F.count(F.lit(1)).alias("span"))
     kind = open_.schema["id"].dataType.simpleString()
 
@@ -254,22 +288,41 @@ def untried_pairs(docs: DataFrame, members: DataFrame, classes: DataFrame, alike
     return asks.join(others, (asks["run"] == others["run"]) & near).select(*ordered("x", "y")).distinct()
 
 
-def near_classes(docs: DataFrame, alike: float = ALIKE) -> DataFrame:
-    """doc_id, copy_of (smallest id with the same words), class_id (smallest id of its class) of every document."""
+def node_classes(docs: DataFrame, alike: float = ALIKE) -> DataFrame:
+    """node, copy_of (smallest node with the same words), root (smallest node of its class) for every row of docs that has an id."""
     sigs = stored(signed(docs), "signatures")
-    copies = stored(sigs.groupBy("h1", "h2").agg(F.min("doc_id").alias("copy_of")), "copies")
-    own = sigs.join(copies.select(F.col("copy_of").alias("doc_id")), "doc_id", "left_semi").select("doc_id", F.explode("keys").alias("key")).distinct()
+    copies = stored(sigs.groupBy("h1", "h2").agg(F.min("node").alias("copy_of"), F.count(F.lit(1)).alias("rows")), "copies")
+    heads = sigs.join(copies.select(F.col("copy_of").alias("node")), "node", "left_semi")
+    own = heads.select("node", F.explode("keys").alias("key")).distinct()
     members = band_members(own)
-    first = members.select(*ordered("doc_id", "a")).unionByName(members.select(*ordered("doc_id", "b"))).where("u <> v").distinct()
-    tried = verified(docs, first, alike)
+    first = members.select(*ordered("node", "a")).unionByName(members.select(*ordered("node", "b"))).where("u <> v").distinct()
+    tried = verified(docs, stored(first, "first-pairs"), alike)
     classes = components(tried.where("linked").select("u", "v"))
     rest = stored(untried_pairs(docs, members, classes, alike).join(tried.select("u", "v"), ["u", "v"], "left_anti"), "pairs")
     if not rest.isEmpty():
         classes = components(tried.unionByName(verified(docs, rest, alike)).where("linked").select("u", "v"))
-    return sigs.join(copies, ["h1", "h2"]).select("doc_id", "copy_of").join(classes, F.col("copy_of") == F.col("node"), "left").select("doc_id", "copy_of", F.coalesce("root", "copy_of").alias("class_id"))
+    # one row for each set of copies gets its class, then each copy gets that row
+    rooted = copies.join(classes, F.col("copy_of") == F.col("node"), "left").select("h1", "h2", "rows", "copy_of", F.coalesce("root", "copy_of").alias("root"))
+    return spread_join(sigs.select("node", "h1", "h2"), stored(rooted, "rooted"), ["h1", "h2"], "rows", copies.agg(F.sum("rows")).first()[0] or 0).select("node", "copy_of", "root")
+
+
+def near_classes(docs: DataFrame, alike: float = ALIKE) -> DataFrame:
+    """doc_id, copy_of (smallest id with the same words), class_id (smallest id of its class) of every document that has an id."""
+    return node_classes(docs, alike).select(F.col("node.id").alias("doc_id"), F.col("copy_of.id").alias("copy_of"), F.col("root.id").alias("class_id"))
 
 
 def first_of_class(docs: DataFrame) -> DataFrame:
-    """The rows of docs whose id is the smallest of its class; those with a null id stay, of equal ids all rows."""
-    gone = near_classes(docs).where("doc_id <> class_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    """One row of docs for each class, that of its smallest id; rows with a null id stay.
+
+    Of rows with the same id and text one stays, whichever comes first.
+    """
+    nodes = stored(node_classes(docs), "classes")
+    # rows that are to go, and the few documents that have several rows: most rows need neither
+    gone = nodes.where("node <> root").select(F.col("node").alias("_node")).distinct()
+    several = stored(nodes.where("node = root").groupBy("node").agg(F.count(F.lit(1)).alias("_times")).where("_times > 1").select(F.col("node").alias("_node")), "several")
+    own = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    node = F.when(docs["doc_id"].isNotNull(), F.struct(docs["doc_id"].alias("id"), F.xxhash64(docs["text"]).alias("text_hash")))
+    kept = docs.select(*[docs[c].alias(v) for c, v in own.items()], node.alias("_node")).join(gone, "_node", "left_anti")
+    single = kept.join(several, "_node", "left_anti").select(*own.values())
+    again = kept.join(several, "_node", "left_semi").groupBy("_node").agg(*[F.first(v).alias(v) for v in own.values()]).select(*own.values())
+    return single.unionByName(again).select(*[F.col(v).alias(c) for c, v in own.items()])

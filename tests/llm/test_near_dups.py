@@ -75,6 +75,55 @@ def test_triples_whose_smallest_id_is_not_the_hub(spark):
     assert got == {k: k - k % 3 for k in got} and len(got) == 600
 
 
+def test_names_as_ids_and_equal_ids(spark):
+    """Ids of any type; rows with equal ids and other texts are documents of their own, with equal texts one document."""
+    rng = random.Random(4)
+    text = [" ".join(f"w{rng.randint(0, 10**9)}" for _ in range(120)) for _ in range(4)]
+    near = [t + " more" for t in text]
+    rows = [("b", text[0]), ("a", near[0]), ("é", text[1]), ("Z", text[1]), ("x", text[2]), ("x", text[2]), ("x", text[3]), ("y", near[3]), (None, text[2])]
+    df = spark.createDataFrame(rows, "doc_id string, text string").repartition(3)
+    got = sorted((r.doc_id, r.copy_of, r.class_id) for r in N.near_classes(df).collect())
+    assert got == sorted([("a", "a", "a"), ("b", "b", "a"), ("é", "Z", "Z"), ("Z", "Z", "Z"), ("x", "x", "x"), ("x", "x", "x"), ("x", "x", "x"), ("y", "y", "x")])
+    kept = sorted((str(r.doc_id), text.index(r.text) if r.text in text else -1) for r in N.first_of_class(df).collect())
+    assert kept == [("None", 2), ("Z", 1), ("a", -1), ("x", 2), ("x", 3)]
+
+
+def test_leaders_of_many(spark, monkeypatch):
+    """More partners than a chunk holds."""
+    monkeypatch.setattr(N, "CHUNK", 8)
+    rng = random.Random(7)
+    hub = [f"w{rng.randint(0, 10**9)}" for _ in range(300)]
+    rows = []
+    for i in range(90):
+        own = list(hub)
+        for k in rng.sample(range(300), rng.randint(0, 9)):
+            own[k] = f"x{i}-{k}"
+        rows.append((1000 - i, " ".join(own)))
+    got = {r.doc_id: r.class_id for r in N.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == classes(rows)
+
+
+def test_recall_on_a_corpus(spark):
+    """Every link that comparing all finds is within a class, and no class holds more than links explain."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    sets = {k: shingles(t) for k, t in rows}
+    where: dict = {}
+    for k, own in sets.items():
+        for x in own:
+            where.setdefault(x, []).append(k)
+    common: dict = {}
+    for ks in where.values():
+        for i, a in enumerate(ks):
+            for b in ks[i + 1 :]:
+                common[a, b] = common.get((a, b), 0) + 1
+    links = [(a, b) for (a, b), n in common.items() if n / (len(sets[a]) + len(sets[b]) - n) >= 0.8]
+    got = {r.doc_id: r.class_id for r in N.near_classes(docs).collect()}
+    assert len(links) > 50 and sum(got[a] == got[b] for a, b in links) >= 0.99 * len(links)
+    linked = {k for link in links for k in link}
+    assert sum(v != k and k not in linked and bool(sets[k]) for k, v in got.items()) <= 0.01 * len(got)
+
+
 def test_estimates():
     rng = random.Random(3)
     words = [f"w{i}" for i in range(400)]
