@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from poiloom.functions.text import BLANKS
+
 
 def common_length(a: str, b: str) -> int:
     """Length of the longest common subsequence, bits of a number standing for a's characters."""
@@ -47,3 +50,24 @@ def token_set_similarity(a: str | None, b: str | None) -> float:
 @F.pandas_udf(DoubleType())
 def token_set_score(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([token_set_similarity(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+
+
+def name_words(name: str) -> Column:
+    """The distinct words of a name."""
+    return F.array_distinct(F.filter(F.split(F.coalesce(F.col(name), F.lit("")), BLANKS), lambda w: w != ""))
+
+
+def score_bound(a: Column, b: Column) -> Column:
+    """What the similarity of two names is at most, from the lengths of their words (name_words), without comparing letters."""
+
+    def length(words: Column) -> Column:
+        return F.length(F.array_join(words, " "))
+
+    both = F.array_intersect(a, b)
+    shared, na, nb = length(both), length(F.array_except(a, both)), length(F.array_except(b, both))
+    gap = (shared > 0).cast("int")
+    # at least the difference of their lengths has to be changed
+    apart = 100.0 - 100.0 * F.abs(na - nb) / (2 * (shared + gap) + na + nb)
+    with_shared = F.greatest(apart, 100.0 - 100.0 * (gap + na) / (2 * shared + gap + na), 100.0 - 100.0 * (gap + nb) / (2 * shared + gap + nb))
+    bound = F.when(shared == 0, apart).when((na == 0) | (nb == 0), F.lit(100.0)).otherwise(with_shared)
+    return F.when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(bound)

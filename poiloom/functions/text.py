@@ -20,6 +20,10 @@ BLANKS = r"(?U)[\s\x1c-\x1f]+"
 APOSTROPHES = "[´`‘’ʼ]"
 #: Letters that no decomposition brings to ASCII; fixed values.
 LATIN = {"ß": "ss", "ẞ": "SS", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "ø": "o", "Ø": "O", "ł": "l", "Ł": "L", "đ": "d", "Đ": "D", "ð": "d", "Ð": "D", "þ": "th", "Þ": "Th", "ı": "i", "ħ": "h", "Ħ": "H"}
+#: Greek and Cyrillic letters in lower case, and what they are in Latin ones; fixed values.
+GREEK = dict(zip("αβγδεζηθικλμνξοπρσςτυφχψω", "a b g d e z e th i k l m n x o p r s s t u ph kh ps o".split(), strict=True))
+CYRILLIC = dict(zip("абвгдежзийклмнопрстуфхцчшщыэюяёєіїґ", "a b v g d e zh z i i k l m n o p r s t u f kh ts ch sh shch y e iu ia io ie i i g".split(), strict=True)) | {"ъ": "", "ь": ""}
+SCRIPTS = GREEK | CYRILLIC
 #: Quotes and dashes; fixed values.
 MARKS = {"‘": "'", "’": "'", "ʼ": "'", "´": "'", "“": '"', "”": '"', "–": "-", "—": "-", "…": "...", "№": "No"}
 
@@ -72,17 +76,31 @@ def normalized_name(c: Column, exact: bool = False) -> Column:
 
 @cache
 def _ascii_table() -> tuple[str, str, tuple[tuple[str, str], ...]]:
-    single, many = [], []
+    single, many, none = [], [], []
+    for lower, to in SCRIPTS.items():
+        # an accent may be part of the letter: it comes off with the letter's own table
+        for ch, own in {lower: to, lower.upper(): to.capitalize()}.items():
+            if len(ch) == 1:
+                (single if len(own) == 1 else many if own else none).append((ch, own))
+    for c in [*range(0x370, 0x3E0), *range(0x400, 0x482)]:
+        ch = chr(c)
+        base = _bare(ch, "NFD")
+        if ch.lower() not in SCRIPTS and base != ch and base.lower() in SCRIPTS:
+            to = SCRIPTS[base.lower()]
+            to = to if base == base.lower() else to.capitalize()
+            (single if len(to) == 1 else many).append((ch, to))
     for c in [*range(0xA0, 0x250), *range(0x1E00, 0x1F00), *range(0x2000, 0x2070), *range(0x2100, 0x2190), *range(0xFF00, 0xFF5F)]:
         ch = chr(c)
         to = LATIN.get(ch) or MARKS.get(ch) or _bare(ch, "NFKD")
         if to != ch and to.isascii():
             (single if len(to) == 1 else many).append((ch, to))
-    return "".join(a for a, _ in single), "".join(b for _, b in single), tuple(x for x in many if x[0] in LATIN or x[0] in MARKS)
+    several = tuple(x for x in many if x[0] in LATIN or x[0] in MARKS or x[0].lower() in SCRIPTS or _bare(x[0], "NFD").lower() in SCRIPTS)
+    # translate() drops what has no counterpart
+    return "".join(a for a, _ in [*single, *none]), "".join(b for _, b in single), several
 
 
 def to_ascii(c: Column) -> Column:
-    """Latin letters and common marks as ASCII; symbols and emoji go, other scripts stay as they are."""
+    """Latin, Greek and Cyrillic letters and common marks as ASCII; symbols and emoji go, other scripts stay as they are."""
     source, target, many = _ascii_table()
     found = F.regexp_replace(F.translate(c, source, target), r"\p{Mn}", "")
     for ch, to in many:
@@ -119,6 +137,27 @@ def contains_text(c: Column, text: str) -> Column:
     return F.coalesce(F.contains(F.lower(c), F.lit(text.lower())), F.lit(False))
 
 
+def literal(ch: str, blank: str | None = None) -> str:
+    """A character as a pattern; blank: what a space stands for."""
+    return blank if ch == " " and blank is not None else re.escape(ch)
+
+
+def own_pattern(word: str, blank: str = r"\s*") -> str:
+    """A keyword that counts as a pattern: spaces, escaped ones too, are blank, and its groups don't capture."""
+    found, at, grouped = [], 0, 0  # up to grouped a group has been opened already
+    while at < len(word):
+        ch, step = word[at], 1
+        if ch == "(" and at >= grouped and (end := word.find(")", at)) > at + 1:
+            ch, grouped = "(?:", end
+        elif word.startswith("\\ ", at):
+            ch, step = literal(" ", blank), 2
+        elif ch == " ":
+            ch = literal(ch, blank)
+        found.append(ch)
+        at += step
+    return "".join(found)
+
+
 def trie_pattern(words: Iterable[str], blank: str | None = None) -> str:
     """A pattern that finds some of the words, shared beginnings written once.
 
@@ -136,22 +175,19 @@ def trie_pattern(words: Iterable[str], blank: str | None = None) -> str:
             node.clear()
             node[""] = None
 
-    def part(ch: str) -> str:
-        return blank if ch == " " and blank is not None else re.escape(ch)
-
     def shown(node: dict) -> str:
         tail = ""
         while len(node) == 1 and "" not in node:
             (ch, node), = node.items()
-            tail += part(ch)
+            tail += literal(ch, blank)
         if "" in node:
             return tail
         leaves = [c for c, n in node.items() if "" in n and c != " "]
-        rest = [part(c) + shown(n) for c, n in node.items() if c not in leaves]
+        rest = [literal(c, blank) + shown(n) for c, n in node.items() if c not in leaves]
         if len(leaves) > 1:
             rest.append("[" + "".join(re.escape(c) if c.isascii() else c for c in leaves) + "]")
         else:
-            rest += [part(c) for c in leaves]
+            rest += [literal(c, blank) for c in leaves]
         return tail + (rest[0] if len(rest) == 1 else "(?:" + "|".join(rest) + ")")
 
     return shown(root)
@@ -170,8 +206,7 @@ def keyword_variants(keywords: Sequence[str]) -> list[str]:
 def keyword_pattern(keywords: Sequence[str]) -> str:
     """Finds a keyword at the start of a word, spaces optional. Keywords with special characters count as patterns."""
     plain = [k for k in keywords if not SPECIAL.search(k)]
-    special = [re.sub(r"\(([^)]+)\)", r"(?:\1)", k).replace("\\ ", r"\s*").replace(" ", r"\s*") for k in keywords if SPECIAL.search(k)]
-    parts = [r"\b" + s + r"\w*" for s in special]
+    parts = [rf"\b{own_pattern(k)}\w*" for k in keywords if SPECIAL.search(k)]
     if plain:
         # letter case is folded here as far as one character stays one, the rest is left to the flags
         parts.insert(0, r"\b" + trie_pattern(sorted({k.lower() for k in plain}), r"\s*"))

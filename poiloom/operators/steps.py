@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -9,11 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from poiloom.functions import text as T
-from poiloom.functions.fuzzy import token_set_score
+from poiloom.functions.fuzzy import name_words, score_bound, token_set_score
 from poiloom.functions.geo import haversine
 from poiloom.functions.hours import DAYS, night_only, weekly_hours
 from poiloom.operators.dedup import deduplicate, require, with_group_count
-from poiloom.operators.spatial import radius_pairs, suppressed
+from poiloom.operators.spatial import radius_pairs, suppressed, tile
 from poiloom.sources.packs import GLOBAL_KEYWORDS, KEEP_WORDS
 
 
@@ -86,12 +87,20 @@ def geo_dedup(df: DataFrame, radius_m: float = 50, scope: str = "name") -> StepR
     """
     require(df, "name", "latitude", "longitude", "dataplor_id")
     points = df.where("latitude is not null and longitude is not null").select("row_id", "dataplor_id", "latitude", "longitude", T.spatial_name(F.col("name")).alias("_name"))
-    pairs = radius_pairs(points, radius_m, "_name")
+    # rows of equal name and place are near each other: their first row stands for them, and no pairs of copies are formed
+    place = ["_name", "latitude", "longitude"]
+    heads = points.groupBy(*place).agg(F.min("row_id").alias("row_id"), F.count(F.lit(1)).alias("_rows"))
+    pairs = radius_pairs(heads, radius_m, "_name", carry=("latitude", "longitude"))
     if scope == "cluster":
-        gone = points.join(suppressed(pairs).withColumnRenamed("id", "row_id"), "row_id", "left_semi").select("dataplor_id")
+        tiles = pairs.select("i", "j", tile(F.col("latitude_j"), F.col("longitude_j"), radius_m).alias("tile_j"))
+        # of a place all rows but the first are suppressed: by it, or by what suppresses it
+        others = points.join(heads.select("row_id"), "row_id", "left_anti").select("dataplor_id")
+        gone = points.join(suppressed(tiles).withColumnRenamed("id", "row_id"), "row_id", "left_semi").select("dataplor_id").unionByName(others)
     elif scope == "name":
-        near = pairs.select(F.explode(F.array("i", "j")).alias("row_id")).distinct()
-        ids = points.join(near, "row_id", "left_semi").groupBy("_name", "dataplor_id").agg(F.min("row_id").alias("_first"))
+        near = heads.where("_rows > 1").select("row_id").unionByName(pairs.select(F.explode(F.array("i", "j")).alias("row_id"))).distinct()
+        near = heads.join(near, "row_id", "left_semi").select(*[F.col(c).alias(f"_near{c}") for c in place])
+        same = F.col("_name").eqNullSafe(F.col("_near_name")) & (F.col("latitude") == F.col("_nearlatitude")) & (F.col("longitude") == F.col("_nearlongitude"))
+        ids = points.join(near, same, "left_semi").groupBy("_name", "dataplor_id").agg(F.min("row_id").alias("_first"))
         # of each name its earliest row, by one more aggregate instead of a window over hot names
         first = ids.groupBy("_name").agg(F.min("_first").alias("_lead"))
         gone = ids.join(first, ids["_name"].eqNullSafe(first["_name"])).where("_first > _lead").select("dataplor_id")
@@ -110,19 +119,16 @@ def hours_failed(min_hours: float = 20, night_start: float = 19) -> Column:
 
 def global_keyword(name: str = "name", keywords: Sequence[str] = GLOBAL_KEYWORDS) -> Column:
     """Whether a keyword stands literally in the name; backslashes count as such."""
-    low = T.keyword_name(F.col(name))
-    hit = F.lit(False)
-    for k in keywords:
-        hit = hit | F.contains(low, F.lit(k.lower()))
-    return F.coalesce(hit, F.lit(False))
+    return T.matches(T.keyword_name(F.col(name)), T.trie_pattern(sorted({k.lower() for k in keywords}))) if keywords else F.lit(False)
 
 
 def fuzzy_edges(points: DataFrame, dist_m: float = 100, thresh: float = 80) -> DataFrame:
-    """Edges (i, j) of points (row_id, latitude, longitude, _name) that are near and alike. Equal points must be put together before."""
-    pairs = radius_pairs(points, dist_m)
-    own = points.select("row_id", "_name")
-    named = pairs.join(own.toDF("i", "name_i"), "i").join(own.toDF("j", "name_j"), "j")
-    return named.where(token_set_score("name_i", "name_j") >= thresh).select("i", "j")
+    """Edges (i, j, tile_j) of points (row_id, latitude, longitude, _name) that are near and alike. Equal points must be put together before."""
+    worded = points.withColumn("_words", name_words("_name"))
+    pairs = radius_pairs(worded, dist_m, carry=("_name", "_words", "latitude", "longitude"))
+    # most pairs can't reach the threshold by the lengths of their words alone: they never reach Python
+    close = pairs.where(score_bound(F.col("_words_i"), F.col("_words_j")) >= thresh - 1e-6)
+    return close.where(token_set_score("_name_i", "_name_j") >= thresh).select("i", "j", tile(F.col("latitude_j"), F.col("longitude_j"), dist_m).alias("tile_j"))
 
 
 def hours_and_fuzzy(df: DataFrame, min_hours: float = 20, night_start: float = 19, fuzzy_thresh: float = 80, dist_m: float = 100, keywords: Sequence[str] = GLOBAL_KEYWORDS) -> StepResult:
@@ -147,6 +153,7 @@ def final_keywords(df: DataFrame, keywords: Sequence[str], keep_words: Sequence[
     """Names that match the blacklist, hold one of its keywords literally, and no protecting word."""
     require(df, "name")
     if not keywords:
+        logging.warning("the blacklist is empty: no name is excluded")
         return StepResult(df.withColumn("drop_reason", F.lit(None).cast("string")))
     variants = T.keyword_variants(keywords)
     name = F.col("name")
@@ -163,7 +170,8 @@ def crowded_property(df: DataFrame, threshold: int = 4, radius_m: float = 100.0)
 
     Properties are summed up map-side and joined, so one that holds many rows isn't gathered in a task.
     """
-    if any(c not in df.columns for c in ("parent_location", "latitude", "longitude")):
+    if missing := [c for c in ("parent_location", "latitude", "longitude") if c not in df.columns]:
+        logging.warning("crowded properties are not looked for, as columns are missing: %s", missing)
         return StepResult(df.withColumn("drop_reason", F.lit(None).cast("string")))
     valid = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
     own = df.where("parent_location is not null")

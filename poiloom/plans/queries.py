@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,30 +19,41 @@ from poiloom.plans.audit import percentage, tracked
 from poiloom.plans.run import clean
 from poiloom.sources.packs import GLOBAL_KEYWORDS
 
-#: Patterns, keywords and protecting words from the frequent words of the places' names.
-CHAINS = (r"\bthe\b", r"\bla\s?de\b", r"\bder", r"\bund\b")
-KEYWORDS = ("Of", "Erin", "thand", "Einer", "une", "ciones", "Anth", "for and")
-KEEP = ("Ther", "Onth", "Ensch")
-BAD_WORDS = ("inea", "that ", "sch", "aux")
-TRACKED = ("the", "en de", "zu")
+#: Patterns, keywords and protecting words that some of the places' names have; keywords with a point count as patterns.
+CHAINS = (r"\bretion\b", r"\banat\b", r"\bel\s?le\b", r"\beau[rx]e")
+KEYWORDS = ("Eauou", "ouch", "thinor", "dans.", "rele", "anlere", "aux la", "Erin.")
+KEEP = ("Leque", "reresh", "oivieau")
+BAD_WORDS = ("tionaux", "outionvi", "reanon ", "anatre")
+TRACKED = ("ouch", "el le", "retion")
 
 _HOURS = ((11, 6, 16, 14), (7, 8, 5, 12), (5, 18, 6, 23), (13, 9, 3, 17), (3, 10, 12, 20), (17, 19, 4, 1), (2, 21, 3, 2))
 
 
-def _hours_sql(day: str, closed: int, start: int, span: int, end: int) -> str:
-    opens = f"lpad(CAST({start} + doc_id % {span} AS STRING), 2, '0')"
-    closes = f"lpad(CAST(({end} + doc_id % {span}) % 24 AS STRING), 2, '0')"
-    return f"CASE WHEN doc_id % {closed} = 0 THEN 'Not available' ELSE concat({opens}, ':00-', {closes}, ':30') END AS {day}_hours"
+def _hours_sql(row: str, day: str, closed: int, start: int, span: int, end: int) -> str:
+    opens = f"lpad(CAST({start} + {row} % {span} AS STRING), 2, '0')"
+    closes = f"lpad(CAST(({end} + {row} % {span}) % 24 AS STRING), 2, '0')"
+    return f"CASE WHEN {row} % {closed} = 0 THEN 'Not available' ELSE concat({opens}, ':00-', {closes}, ':30') END AS {day}_hours"
 
 
-PLACES = f"""SELECT doc_id AS row_id, CAST(doc_id AS STRING) AS dataplor_id,
-  concat_ws(' ', split_part(text, ' ', 1), split_part(text, ' ', 2), split_part(text, ' ', 3)) AS name,
-  CAST(CASE WHEN doc_id % 41 = 0 THEN NULL ELSE 19.4 + (doc_id % 60) * 0.0003 END AS DOUBLE) AS latitude,
-  CAST(CASE WHEN doc_id % 41 = 0 THEN NULL ELSE -99.1 + (doc_id % 7) * 0.0003 END AS DOUBLE) AS longitude,
-  CASE WHEN doc_id % 13 = 0 THEN NULL ELSE concat('P', CAST(doc_id % 60 AS STRING)) END AS parent_location,
-  CASE WHEN doc_id % 17 = 0 THEN 'True' WHEN doc_id % 19 = 0 THEN 'true' WHEN doc_id % 23 = 0 THEN 'False' END AS identified_as_chain,
-  {", ".join(_hours_sql(d, *h) for d, h in zip(DAYS, _HOURS, strict=True))}
-FROM documents"""
+def _places_sql(table: str, row: str, name: str, x: str, y: str) -> str:
+    """Places from the rows of a table: every 2000 are a town of a square kilometre, in which they stand by x (0 to 29) and y (0 to 30)."""
+    town = f"CAST(floor({row} / 2000) AS BIGINT)"
+    return f"""SELECT {row} AS row_id, CAST({row} AS STRING) AS dataplor_id, {name} AS name,
+  CAST(CASE WHEN {row} % 41 = 0 THEN NULL ELSE 19.4 + {x} * 0.0003 + ({row} % 3) * 0.00005 + ({town} % 900) * 0.02 END AS DOUBLE) AS latitude,
+  CAST(CASE WHEN {row} % 41 = 0 THEN NULL ELSE -99.1 + {y} * 0.0003 + CAST(floor({row} / 1800000) AS BIGINT) * 0.02 END AS DOUBLE) AS longitude,
+  CASE WHEN {row} % 13 = 0 THEN NULL ELSE concat('P', CAST({town} AS STRING), '-', CAST(CAST(floor({x} / 6) AS BIGINT) AS STRING), '-', CAST(CAST(floor({y} / 6) AS BIGINT) AS STRING)) END AS parent_location,
+  CASE WHEN {row} % 17 = 0 THEN 'True' WHEN {row} % 19 = 0 THEN 'true' WHEN {row} % 23 = 0 THEN 'False' END AS identified_as_chain,
+  {", ".join(_hours_sql(row, d, *h) for d, h in zip(DAYS, _HOURS, strict=True))}
+FROM {table}"""
+
+
+#: A place for each document, its name the whole text; texts of some lengths stand together.
+PLACES = _places_sql("documents", "doc_id", "text", "(length(text) % 30)", "((length(text) * 13) % 31)")
+#: A shop for each part, with names of the usual length: for what compares names letter by letter.
+SHOPS = _places_sql("part", "p_partkey", "concat_ws(' ', p_name, p_brand, p_type)", "((p_partkey * 7) % 30)", "((p_partkey * 13 + CAST(floor(p_partkey / 30) AS BIGINT) * 5) % 31)")
+SHOP_CHAINS = (r"\bhot\s?rod\b", r"\bbrand#7\b")
+SHOP_KEYWORDS = ("Gizmo Brand#1", "old ring", "Widget.*")
+SHOP_KEEP = ("economy",)
 
 _NORMAL = "regexp_replace(upper(strip_accents(replace(name, 'ß', 'ss'))), '^\\s+|\\s+$', '', 'g')"
 _WITH = f"WITH places AS ({PLACES}), named AS (SELECT *, {_NORMAL} AS name_normalized FROM places)"
@@ -65,7 +77,7 @@ _CHAIN_SQL = f"regexp_matches(lower(name_normalized), {_quoted('|'.join(f'(?:{_b
 _FLAG_SQL = "coalesce(lower(identified_as_chain), '') = 'true'"
 # the places' names transliterate by their accents alone
 _LOW = "regexp_replace(strip_accents(replace(lower(name), 'ß', 'ss')), '^\\s+|\\s+$', '', 'g')"
-_KEYWORD_SQL = "(" + " OR ".join(f"contains({_LOW}, {_quoted(k)})" for k in (*GLOBAL_KEYWORDS, *BAD_WORDS)) + ")"
+_GLOBAL_SQL, _KEYWORD_SQL = ("(" + " OR ".join(f"contains({_LOW}, {_quoted(k)})" for k in words) + ")" for words in (GLOBAL_KEYWORDS, (*GLOBAL_KEYWORDS, *BAD_WORDS)))
 
 
 def _clock_sql(x: str) -> str:
@@ -96,6 +108,11 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(PLACES.replace("FROM documents", "FROM {documents}"), documents=docs)
 
 
+def shops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name", "p_brand", "p_type")
+    return spark.sql(SHOPS.replace("FROM part", "FROM {part}"), part=parts)
+
+
 def named(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.normalize_names(places(spark, sf_dir))
 
@@ -104,6 +121,25 @@ def normalize_names(spark, sf_dir):
     return named(spark, sf_dir).select("row_id", "name_normalized")
 
 
+def exact_duplicates(spark, sf_dir):
+    """The first step with its own key; equal names of copies are moved to one place."""
+    p = places(spark, sf_dir).withColumns({"latitude": F.round("latitude", 3), "longitude": F.round("longitude", 3)})
+    return S.normalize_and_dedup(p).rows.select("row_id", F.coalesce("drop_reason", F.lit("kept")).alias("drop_reason"))
+
+
+def dedup_keep_any(spark, sf_dir):
+    """Which row of a key stays is open, so only the keys are told."""
+    return D.deduplicate(named(spark, sf_dir), ["name_normalized", "parent_location"], "any").select("name_normalized", "parent_location")
+
+
+def strict_source_flag(spark, sf_dir):
+    return S.remove_chains(named(spark, sf_dir), [r"\bqqqq\b"], strict_flag=True).dropped.select("row_id", "drop_reason")
+
+
+def geo_cluster_dedup(spark, sf_dir):
+    return S.geo_dedup(places(spark, sf_dir), 50, scope="cluster").kept.select("row_id", "name")
+
+
 def _dedup(keep: str) -> Callable:
     def query(spark, sf_dir):
         return D.deduplicate(named(spark, sf_dir), ["name_normalized", "parent_location"], keep).select("row_id", "name_normalized", "parent_location")
@@ -213,39 +249,66 @@ def step_metrics(spark, sf_dir):
 
 
 def token_set_similarity(spark, sf_dir):
-    p = places(spark, sf_dir).where("latitude is not null")
-    own = p.select("row_id", T.keyword_name(F.col("name")).alias("n"))
-    pairs = radius_pairs(p, 40.0)
-    return pairs.join(own.toDF("i", "a"), "i").join(own.toDF("j", "b"), "j").select("i", "j", F.round(token_set_score("a", "b"), 4).alias("score"))
+    p = shops(spark, sf_dir).where("latitude is not null").withColumn("n", T.keyword_name(F.col("name")))
+    return radius_pairs(p, 40.0, carry=("n",)).select("i", "j", F.round(token_set_score("n_i", "n_j"), 4).alias("score"))
 
 
 def fuzzy_spatial_dedup(spark, sf_dir):
-    return S.hours_and_fuzzy(places(spark, sf_dir)).rows.select("row_id", F.coalesce("drop_reason", F.lit("kept")).alias("drop_reason"))
+    return S.hours_and_fuzzy(shops(spark, sf_dir)).rows.select("row_id", F.coalesce("drop_reason", F.lit("kept")).alias("drop_reason"))
 
 
 def csv_round_trip(spark, sf_dir):
     from poiloom.sources.io import read_csv, write_csv
     from poiloom.sources.tables import shared_dir
 
-    out = write_csv(places(spark, sf_dir).select("row_id", F.col("row_id").alias("place"), "name", "latitude", "longitude", "monday_hours"), f"{shared_dir(spark)}/poiloom/places.csv")
+    out = write_csv(places(spark, sf_dir).select("row_id", F.col("row_id").alias("place"), "name", "latitude", "longitude", "monday_hours"), f"{shared_dir(spark)}/poiloom/places-{uuid.uuid4().hex}.csv")
     back = read_csv(spark, out)
     return back.select(F.col("place").cast("long").alias("place"), "name", F.round("latitude", 6).alias("latitude"), F.round("longitude", 6).alias("longitude"), "monday_hours")
 
 
 def full_pipeline(spark, sf_dir):
-    return clean(places(spark, sf_dir), CHAINS, KEYWORDS).select("row_id", "name", "name_normalized", "latitude", "longitude", "parent_location")
+    return clean(shops(spark, sf_dir), SHOP_CHAINS, SHOP_KEYWORDS).select("row_id", "name", "name_normalized", "latitude", "longitude", "parent_location")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         normalize_names, chain_regex_filter, name_frequency_filter, source_flag_filter, drop_reason_cascade, global_keyword_filter, hours_filter, haversine_to_centroid, crowded_property, geo_name_dedup,
         keep_word_mask, detect_keyword, final_keyword_exclusion, exact_dropped_rows, legacy_dropped_rows, step_top5_dropped, tracked_item_audit, step_metrics, token_set_similarity, fuzzy_spatial_dedup,
-        csv_round_trip, full_pipeline,
+        csv_round_trip, full_pipeline, exact_duplicates, dedup_keep_any, strict_source_flag, geo_cluster_dedup,
     )
     named_ = {"weekly_hours": weekly_hours_query, "night_only": night_only_query, "radius_pairs": radius_pairs_query}
     return {f.__name__: f for f in own} | named_ | {f"dedup_keep_{k}": _dedup(k) for k in ("first", "last", "none")}
 
 
+_SHOPS_WITH = f"WITH RECURSIVE places AS ({SHOPS}), low AS (SELECT *, {_LOW} AS n FROM places)"
+# the longest common subsequence, a row of lengths for each letter of b; then words in common and apart
+_LCS = """list_reduce([list_transform(range(0, length(a) + 1), lambda x: 0)] || list_transform(str_split(b, ''), lambda c: [ord(c)]),
+  lambda last, c: list_reduce([[0]] || list_transform(range(1, length(a) + 1), lambda k: [k]),
+    lambda row, k: list_append(row, CASE WHEN ord(substr(a, k[1], 1)) = c[1] THEN last[k[1]] + 1 ELSE greatest(row[k[1]], last[k[1] + 1]) END)))[-1]"""
+_WORDED = "worded AS (SELECT *, list_sort(list_distinct(list_filter(str_split(n, ' '), lambda w: w <> ''))) AS ws FROM low)"
+
+
+def _words_sql(words: str, other: str, common: bool) -> str:
+    return f"array_to_string(list_filter({words}, lambda w: {'' if common else 'NOT '}list_contains({other}, w)), ' ')"
+
+
+#: Similarity of the pairs in near (i, j, wa, wb).
+_SCORED = f"""scored AS (SELECT i, j, CASE WHEN len(wa) = 0 OR len(wb) = 0 THEN 0.0 WHEN shared > 0 AND (na = 0 OR nb = 0) THEN 100.0
+    ELSE greatest(100.0 - 100.0 * (na + nb - 2 * lcs) / (2 * (shared + gap) + na + nb), CASE WHEN shared > 0 THEN 100.0 - 100.0 * (gap + na) / (2 * shared + gap + na) ELSE 0.0 END,
+      CASE WHEN shared > 0 THEN 100.0 - 100.0 * (gap + nb) / (2 * shared + gap + nb) ELSE 0.0 END) END AS score
+    FROM (SELECT *, length(a) AS na, length(b) AS nb, CASE WHEN shared > 0 THEN 1 ELSE 0 END AS gap, CASE WHEN a = '' OR b = '' THEN 0 ELSE {_LCS} END AS lcs
+      FROM (SELECT *, {_words_sql("wa", "wb", False)} AS a, {_words_sql("wb", "wa", False)} AS b, length({_words_sql("wa", "wb", True)}) AS shared FROM near)))"""
+
+
+def _settled_sql(edges: str) -> str:
+    """state: verdict 1 (kept) or -1 (suppressed by a kept earlier row) of every row in edges (i, j), step by step."""
+    return f"""state AS (SELECT 0 AS step, row_id, 0 AS verdict FROM (SELECT DISTINCT i AS row_id FROM {edges} UNION SELECT DISTINCT j FROM {edges})
+          UNION ALL SELECT step + 1, s.row_id, CASE WHEN s.verdict <> 0 THEN s.verdict
+            WHEN EXISTS (SELECT 1 FROM {edges} n JOIN state t ON t.row_id = n.i WHERE n.j = s.row_id AND t.verdict = 1) THEN -1
+            WHEN NOT EXISTS (SELECT 1 FROM {edges} n JOIN state t ON t.row_id = n.i WHERE n.j = s.row_id AND t.verdict >= 0) THEN 1 ELSE 0 END
+          FROM state s WHERE step < 200 AND EXISTS (SELECT 1 FROM state WHERE verdict = 0))"""
+
+
 def oracle_sql() -> dict[str, str]:
     over = "OVER (PARTITION BY name_normalized, parent_location"
     columns = "SELECT row_id, name_normalized, parent_location FROM"
@@ -265,6 +328,17 @@ def oracle_sql() -> dict[str, str]:
     texts = ", ".join(f"({_quoted(t)})" for t in TRACKED)
     return {
         "normalize_names": f"{_WITH} SELECT row_id, name_normalized FROM named",
+        "exact_duplicates": f"{_WITH} SELECT row_id, CASE WHEN n > 1 THEN 'Exact_Duplicate' ELSE 'kept' END AS drop_reason FROM (SELECT row_id, row_number() OVER (PARTITION BY name_normalized, round(latitude, 3), round(longitude, 3) ORDER BY row_id) AS n FROM named)",
+        "token_set_similarity": f"{_SHOPS_WITH}, {_WORDED}, near AS (SELECT a.row_id AS i, b.row_id AS j, a.ws AS wa, b.ws AS wb FROM worded a JOIN worded b ON a.row_id < b.row_id WHERE {pair} <= 40.0), {_SCORED} "
+        "SELECT i, j, round(score, 4) AS score FROM scored",
+        "fuzzy_spatial_dedup": f"{_SHOPS_WITH}, {_HOURS_SQL}, judged AS (SELECT p.row_id, CASE WHEN coalesce({_GLOBAL_SQL}, false) THEN '1_Global_Keywords' WHEN coalesce(night_only, false) OR weekly_hours IS NULL OR weekly_hours < 20 THEN '2_Hours_Filter' END AS reason "
+        f"FROM places p JOIN hours h ON p.row_id = h.row_id), {_WORDED}, open_ AS (SELECT w.* FROM worded w JOIN judged g ON w.row_id = g.row_id WHERE g.reason IS NULL AND name IS NOT NULL), "
+        f"near AS (SELECT a.row_id AS i, b.row_id AS j, a.ws AS wa, b.ws AS wb FROM open_ a JOIN open_ b ON a.row_id < b.row_id WHERE {pair} <= 100.0), {_SCORED}, edges AS MATERIALIZED (SELECT i, j FROM scored WHERE score >= 80), {_settled_sql('edges')} "
+        "SELECT row_id, coalesce(reason, CASE WHEN row_id IN (SELECT row_id FROM state WHERE verdict = -1) THEN '3_Fuzzy_Dedup' END, 'kept') AS drop_reason FROM judged",
+        "dedup_keep_any": f"{_WITH} SELECT DISTINCT name_normalized, parent_location FROM named",
+        "strict_source_flag": f"{_WITH} SELECT row_id, '3_Flagged_As_Chain_In_Source' AS drop_reason FROM places WHERE identified_as_chain = 'True'",
+        "geo_cluster_dedup": f"{_WITH}, keyed AS (SELECT *, {spatial} AS k FROM places), near AS MATERIALIZED (SELECT a.row_id AS i, b.row_id AS j FROM keyed a JOIN keyed b ON a.k IS NOT DISTINCT FROM b.k AND a.row_id < b.row_id WHERE {pair} <= 50.0), ".replace("WITH", "WITH RECURSIVE", 1)
+        + f"{_settled_sql('near')}, gone AS (SELECT DISTINCT p.dataplor_id FROM state s JOIN places p ON p.row_id = s.row_id WHERE s.verdict = -1) SELECT row_id, name FROM places WHERE dataplor_id NOT IN (SELECT dataplor_id FROM gone)",
         "dedup_keep_first": f"{_WITH} {columns} (SELECT *, row_number() {over} ORDER BY row_id) AS n FROM named) WHERE n = 1",
         "dedup_keep_last": f"{_WITH} {columns} (SELECT *, row_number() {over} ORDER BY row_id DESC) AS n FROM named) WHERE n = 1",
         "dedup_keep_none": f"{_WITH} {columns} (SELECT *, count(*) {over}) AS n FROM named) WHERE n = 1",

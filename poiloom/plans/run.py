@@ -40,7 +40,8 @@ def pipeline_steps(chains: Sequence[str], keywords: Sequence[str]) -> dict[int,
 def clean(df: DataFrame, chains: Sequence[str], keywords: Sequence[str], modules: Sequence[int] = (1, 2, 3, 4, 5, 6)) -> DataFrame:
     """The survivors of the steps, each step's result written to the shared folder; unknown steps are left out."""
     registry = pipeline_steps(chains, keywords)
-    current = with_row_id(df)
+    # row numbers made here have to be the same in every later look at the rows
+    current = df if "row_id" in df.columns else materialized(with_row_id(df), "rows")
     for m in modules:
         if m in registry:
             current = materialized(registry[m].run(current).kept, f"step-{m}")
@@ -61,7 +62,7 @@ def run_pipeline(
 
     exact: drops are the rows that went; else those without an equal row left, where nulls are never equal.
     """
-    registry = pipeline_steps(chain_patterns(settings.country, settings.packs), blacklist(settings.packs))
+    registry = pipeline_steps(chain_patterns(settings.country, settings.packs), blacklist(settings.packs) if 5 in modules else ())
     left = list(items)
     report = AuditFile(settings.data_dir, left) if left else None
     metrics = []

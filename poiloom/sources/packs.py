@@ -1,11 +1,13 @@
 """Pattern and keyword packs: small ones built in, large ones read from files.
 
 A pack file has one entry a line, in order; empty lines and lines that start with "# " are
-left out. patterns_<country>.txt holds regular expressions, blacklist.txt plain keywords.
+left out. patterns_<country>.txt holds regular expressions, blacklist.txt plain keywords. Both
+may be Python files instead that state such a list, which are read but not run.
 """
 
 from __future__ import annotations
 
+import ast
 from pathlib import Path
 
 #: Chains of Mexico, as regular expressions. Fixed values.
@@ -268,14 +270,26 @@ BUILT_IN = {"mx": MX_CHAINS}
 
 
 def read_pack(path: str | Path) -> list[str]:
-    lines = Path(path).read_text(encoding="utf-8").splitlines()
-    return [x for x in lines if x.strip() and not x.startswith("# ")]
+    """The entries of a text file, one a line, or of the longest list of strings that a Python file states (which is not run)."""
+    raw = Path(path).read_text(encoding="utf-8")
+    if Path(path).suffix != ".py":
+        return [x for x in raw.splitlines() if x.strip() and not x.startswith("# ")]
+    found: list[str] = []
+    for node in ast.walk(ast.parse(raw)):
+        if isinstance(node, ast.List) and all(isinstance(x, ast.Constant) and isinstance(x.value, str) for x in node.elts) and len(node.elts) > len(found):
+            found = [x.value for x in node.elts]
+    return found
+
+
+def pack_file(folder: str | None, name: str) -> Path | None:
+    """The folder's file of that name, .txt before .py."""
+    return next((p for end in (".txt", ".py") if folder and (p := Path(folder) / f"{name}{end}").exists()), None)
 
 
 def chain_patterns(country: str, folder: str | None = None) -> list[str]:
-    """The chains of a country: from the folder's patterns_<country>.txt, else built in."""
-    own = Path(folder) / f"patterns_{country.lower()}.txt" if folder else None
-    if own is not None and own.exists():
+    """The chains of a country: from the folder's patterns_<country> (.txt or .py), else built in."""
+    own = pack_file(folder, f"patterns_{country.lower()}")
+    if own is not None:
         found = read_pack(own)
     elif country.lower() in BUILT_IN:
         found = list(BUILT_IN[country.lower()])
@@ -287,6 +301,8 @@ def chain_patterns(country: str, folder: str | None = None) -> list[str]:
 
 
 def blacklist(folder: str | None) -> list[str]:
-    """Keywords of the final exclusion, in order; none without a folder that has blacklist.txt."""
-    own = Path(folder) / "blacklist.txt" if folder else None
-    return read_pack(own) if own is not None and own.exists() else []
+    """Keywords of the final exclusion, in order, from the folder's blacklist (.txt or .py); without one, module 5 can't run."""
+    own = pack_file(folder, "blacklist")
+    if own is None:
+        raise ValueError("module 5 needs a blacklist: put blacklist.txt into the folder that paths.packs names, or leave the module out")
+    return read_pack(own)

@@ -117,3 +117,19 @@ def test_haversine(spark):
     df = spark.createDataFrame([(0.0, 0.0, 0.0, 1.0), (None, 0.0, 0.0, 1.0)], "a double, b double, c double, d double")
     got = [r[0] for r in df.select(geo.haversine(*[F.col(c) for c in "abcd"])).collect()]
     assert got[0] == pytest.approx(111194.93, abs=0.01) and got[1] is None
+
+
+def test_other_scripts(spark):
+    from poiloom.functions import text as T
+
+    names = ["Кафе Ёлка", "ЩУКА Объект", "Καφέ Ψωμί", "ΆΓΙΟΣ", "Жук-й", "北京 x"]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, n string")
+    got = [r[0] for r in df.orderBy("i").select(T.to_ascii(F.col("n"))).collect()]
+    assert got == ["Kafe Iolka", "ShchUKA Obekt", "Kaphe Psomi", "AGIOS", "Zhuk-i", "北京 x"]
+
+
+def test_keywords_as_patterns():
+    from poiloom.functions import text as T
+
+    assert T.own_pattern("a (b c) d") == r"a\s*(?:b\s*c)\s*d"
+    assert T.own_pattern(r"a\ b()") == r"a\s*b()" and T.own_pattern("x(y") == "x(y" and T.own_pattern("((a) b)") == r"(?:(a)\s*b)"

@@ -22,7 +22,8 @@ def test_query_equals_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    con.sql(f"create view documents as select * from '{DATA}/documents.parquet'")
+    for table in ("documents", "part"):
+        con.sql(f"create view {table} as select * from '{DATA}/{table}.parquet'")
     df = Q.queries()[name](spark, DATA)
     columns = sorted(df.columns)
     own = collections.Counter(tuple(map(normal, r)) for r in df.select(*columns).collect())
@@ -32,7 +33,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_full_pipeline_is_a_subset(spark):
-    all_ids = {r[0] for r in Q.places(spark, DATA).select("row_id").collect()}
+    all_ids = {r[0] for r in Q.shops(spark, DATA).select("row_id").collect()}
     kept = [r[0] for r in Q.full_pipeline(spark, DATA).select("row_id").collect()]
     assert len(kept) == len(set(kept)) and set(kept) < all_ids and kept
 
@@ -48,13 +49,13 @@ def test_csv(spark, tmp_path):
 
 def test_run(spark, tmp_path):
     Path(tmp_path, "packs").mkdir()
-    Path(tmp_path, "packs", "patterns_cr.txt").write_text("# chains\n\\bthe\\b\n", encoding="utf-8")
-    Path(tmp_path, "packs", "blacklist.txt").write_text("Of\nErin\n", encoding="utf-8")
+    Path(tmp_path, "packs", "patterns_cr.txt").write_text("# chains\n\\bretion\\b\n", encoding="utf-8")
+    Path(tmp_path, "packs", "blacklist.py").write_text("OTHER = ['x']\nWORDS = [\n    'Ouch',\n    r'Erin',  # and more\n    'Z Z',\n]\nraise SystemExit\n", encoding="utf-8")
     Path(tmp_path, "config.yaml").write_text("pipeline_settings: {active_country: CR}\npaths: {data_dir: data, raw_data: raw.csv, output_data: out.csv, packs: packs}\n", encoding="utf-8")
     io.write_csv(Q.places(spark, DATA), f"{tmp_path}/raw.csv")
     settings = config.load(f"{tmp_path}/config.yaml")
     assert settings.country == "cr"
-    metrics = run_pipeline(spark, settings, modules=(1, 99, 2, 3, 4, 5, 6), items=["the", "zzzz"])
+    metrics = run_pipeline(spark, settings, modules=(1, 99, 2, 3, 4, 5, 6), items=["retion", "zzzz"])
     assert len(metrics) == 6
     for before, after in zip(metrics, metrics[1:], strict=False):
         assert before.remaining_count == after.remaining_count + after.dropped_count
@@ -83,7 +84,12 @@ def test_report_escapes(tmp_path):
 
 def test_packs(tmp_path):
     assert len(packs.chain_patterns("mx")) == len(packs.MX_CHAINS)
-    assert packs.blacklist(None) == []
+    with pytest.raises(ValueError):
+        packs.blacklist(None)
+    with pytest.raises(ValueError):
+        packs.chain_patterns("cr", str(tmp_path))
+    Path(tmp_path, "blacklist.txt").write_text("# a comment\n#NAME?\n\nx y\n", encoding="utf-8")
+    assert packs.blacklist(str(tmp_path)) == ["#NAME?", "x y"]
 
 
 def test_streaming(spark, tmp_path):

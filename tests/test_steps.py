@@ -92,6 +92,38 @@ def test_suppression_follows_row_order(spark):
     assert suppressed(spark.createDataFrame([], "i long, j long")).count() == 0
 
 
+@pytest.mark.parametrize("tiles", [1, 3, 40])
+def test_suppression_across_tiles(spark, tiles):
+    """A chain through all tiles, and edges between any of them."""
+    rng = random.Random(tiles)
+    edges = sorted({(i, i + 1) for i in range(70)} | {tuple(sorted(rng.sample(range(200), 2))) for _ in range(250)})
+    gone = set()
+    for i in range(200):
+        if i not in gone:
+            gone |= {j for a, j in edges if a == i}
+    df = spark.createDataFrame([(i, j, j * 7919 % tiles) for i, j in edges], "i long, j long, tile_j long")
+    assert {r[0] for r in suppressed(df).collect()} == gone
+
+
+def test_many_copies_of_a_place(spark):
+    """Copies make no pairs: 5000 rows of one name and place, with other ids, some near them and some far."""
+    rows = [("A", 10.0, 10.0, f"x{i}") for i in range(5000)] + [("A", 10.0001, 10.0, "near"), ("A", 30.0, 10.0, "far"), ("A", 40.0, 10.0, "far2"), ("A", 40.0, 10.0, "far2")]
+    df = points(spark, rows)
+    assert ids(S.geo_dedup(df).kept) == [0, 5001]
+    assert ids(S.geo_dedup(df, scope="cluster").kept) == [0, 5001]
+
+
+def test_bound_of_similarity(spark):
+    from poiloom.functions.fuzzy import name_words, score_bound
+
+    rng = random.Random(3)
+    words = ["sol", "luna", "mar", "casa", "rio", "la", "x", "tienda", "ñandú"]
+    rows = [(" ".join(rng.choices(words, k=rng.randint(0, 5))), "  ".join(rng.choices(words, k=rng.randint(0, 5)))) for _ in range(400)]
+    got = spark.createDataFrame(rows, "a string, b string").select("a", "b", score_bound(name_words("a"), name_words("b")).alias("most")).collect()
+    assert all(r.most >= token_set_similarity(r.a, r.b) - 1e-9 for r in got)
+    assert sum(r.most < 80 for r in got) > 100
+
+
 def test_hours_and_fuzzy_against_loop(spark):
     rng = random.Random(11)
     words = ["sol", "luna", "mar", "casa", "rio"]
