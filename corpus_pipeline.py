@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from poiloom.llm import mixing, near_dups, packing, quality, secrets
-from poiloom.llm.common import new_path
+from poiloom.llm.common import drop_tables, new_path, table_mark
 from poiloom.llm.queries import table, tokenizer_path
 
 #: SQL has no such hashes, tokens and programs: the stages are tested against brute force.
@@ -48,10 +48,14 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The packed pieces of the whole documents table."""
-    docs = table(spark, sf_dir, "documents")
+    """The packed pieces of the whole documents table.
+
+    When a stage is written, the tables that it kept for itself and the stage before are deleted.
+    """
+    docs, mark = table(spark, sf_dir, "documents"), table_mark()
     for name, stage in STAGES[:-1]:
         path = new_path(spark, name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(path)
+        drop_tables(spark, mark, keep=[path])
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
