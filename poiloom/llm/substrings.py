@@ -99,7 +99,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, hashes: Callable = W.w
         places = block_places(begin, anchor)
         places = places[B.named_codes(at_places(h[0], places, anchor), answers) > 0]
         starts = near(places, anchor, window, begin)
-        prints = np.stack([in_slices(h[0], starts) & ~B.FLAGS, in_slices(h[1], starts)])
+        prints = np.stack([W.windows(h[0], window)[starts] & ~B.FLAGS, W.windows(h[1], window)[starts]])
         order = np.lexsort(prints[::-1])
         new = np.ones(len(starts), dtype=bool)
         new[1:] = (np.diff(prints[:, order]) != 0).any(axis=0)
@@ -107,10 +107,6 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, hashes: Callable = W.w
         which[order] = np.cumsum(new) - 1
         return starts, which, prints[:, order[new]]
 
-    def in_slices(h, starts):
-        found = [at_places(h, starts[i : i + 65536], window) for i in range(0, len(starts), 65536)]
-        return np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)
-
     def again(batches):
         for block, answers, table in B.blocks_of(batches):
             _, begin, h = read(table.column(1).to_pylist())
