@@ -35,7 +35,7 @@ BLOCK_BYTES, BLOCK_ROWS = 2 << 20, 4096
 #: Bytes of text in a task that works on whole blocks.
 TASK_BYTES = 64 << 20
 #: Fingerprints that a bucket should have.
-BUCKET = 4 << 20
+BUCKET = 1 << 20
 FLAGS = np.uint64(3)
 #: Flag bits of a question: it occurs more than once in its block; it wants an answer.
 OFTEN, WANTED = np.uint64(1), np.uint64(2)
@@ -74,7 +74,7 @@ def layout(docs: DataFrame, key: str = "doc_id") -> Layout:
 
 
 def buckets_for(spark, entries: float, each: int = BUCKET) -> int:
-    return max(2 * shuffle_partitions(spark), math.ceil(entries / each))
+    return max(shuffle_partitions(spark), math.ceil(entries / each))
 
 
 def squeeze(a: np.ndarray) -> bytes:
@@ -145,7 +145,7 @@ def answer_batch(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
 
 def dealt(asked: DataFrame) -> DataFrame:
     """Questions dealt out to tasks by bucket, bucket by bucket, each in order of blocks. Spark sorts, and spills if it must."""
-    return asked.repartitionById(2 * shuffle_partitions(asked.sparkSession), F.col("part")).sortWithinPartitions("part", "block")
+    return asked.repartitionById(shuffle_partitions(asked.sparkSession), F.col("part")).sortWithinPartitions("part", "block")
 
 
 def by_bucket(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, list[int], list[pa.Buffer]]]:
@@ -193,6 +193,7 @@ def answered(asked: DataFrame, decide: Callable, what: str, named: bool = False,
                     out.append((block, part, n, pack(mine[c > 0] | c[c > 0]) if named else squeeze(c)))
             if out:
                 yield answer_batch(out)
+            pa.default_memory_pool().release_unused()
 
     return stored(dealt(asked).mapInArrow(meet, ANSWER), what)
 
@@ -271,6 +272,7 @@ def blocks_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, dict[int
 
     def close():
         if texts:
+            pa.default_memory_pool().release_unused()
             table = pa.concat_tables(texts)
             yield current, answers, table.take(pc.sort_indices(table.column(0), null_placement="at_start")).combine_chunks()
 

@@ -24,7 +24,9 @@ the strings of WINDOW bytes themselves are looked up, in order of blocks, with w
 seen as the only memory: a block sends a string once, whatever number of documents has it.
 
 Equal suffixes of a block with equal surroundings are one entry. The number of buckets
-follows from the number of entries; a task takes up one at a time.
+follows from the number of entries; a task takes up one at a time. Buckets are dealt with in
+PASSES: what one pass shuffles is gone before the next one starts, which bounds the disk
+that the sample's bytes need.
 
 Defined cases: a null text has no bytes; a text shorter than WINDOW bytes keeps all; a text
 of any length is one row of one block, worked on with some 20 times its size in memory;
@@ -37,6 +39,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +59,9 @@ HOT_BLOCKS = 256
 #: Codes of marked strings: they tie, and are hot.
 TIED, HOT = 1, 2
 #: Entries of a bucket, and entries gathered at a time.
-BUCKET, GATHERED = 1 << 18, 1 << 18
+BUCKET, GATHERED = 1 << 17, 1 << 16
+#: Passes over the sample, each with its share of the buckets.
+PASSES = 3
 #: Fingerprints made at a time.
 SLICE = 1 << 17
 #: Kinds of answers.
@@ -132,13 +137,18 @@ def in_order(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, shared
 
 
-def surroundings(raw: bytes, begin: np.ndarray, places: np.ndarray, depth: int, slack: int) -> np.ndarray:
+def padded(raw: bytes, slack: int) -> np.ndarray:
+    """The bytes with slack zeros on both sides."""
+    wide = np.zeros(len(raw) + 2 * slack, dtype=np.uint8)
+    wide[slack : slack + len(raw)] = np.frombuffer(raw, dtype=np.uint8)
+    return wide
+
+
+def surroundings(wide: np.ndarray, begin: np.ndarray, places: np.ndarray, depth: int, slack: int) -> np.ndarray:
     """A row of bytes for each place: slack before it, depth + slack from it on, then how many of the slacks are of its document; others are 0."""
     text = np.searchsorted(begin, places, side="right") - 1
     left = np.minimum(places - begin[text], slack)
     right = np.minimum(begin[text + 1] - places - depth, slack)
-    wide = np.zeros(len(raw) + 2 * slack, dtype=np.uint8)
-    wide[slack : slack + len(raw)] = np.frombuffer(raw, dtype=np.uint8)
     width = depth + 2 * slack
     rows = np.empty((len(places), width + 2), dtype=np.uint8)
     rows[:, :width] = np.lib.stride_tricks.sliding_window_view(wide, width)[places]
@@ -197,13 +207,13 @@ class Entries:
     """What a block asks about its tied marks: the distinct entries of each bucket, in order of their places."""
 
     def __init__(self, raw: bytes, begin: np.ndarray, places: np.ndarray, prints: np.ndarray, bounds: np.ndarray, depth: int, slack: int):
-        self.raw, self.begin, self.depth, self.slack = raw, begin, depth, slack
+        self.wide, self.begin, self.depth, self.slack = padded(raw, slack), begin, depth, slack
         bucket = np.searchsorted(bounds, prints, side="right")
         order = np.argsort(bucket, kind="stable")
         self.places, self.bucket = places[order], bucket[order]
 
     def rows(self, places: np.ndarray) -> np.ndarray:
-        return surroundings(self.raw, self.begin, places, self.depth, self.slack)
+        return surroundings(self.wide, self.begin, places, self.depth, self.slack)
 
     def heads(self, places: np.ndarray) -> np.ndarray:
         """For each place the first one with the same entry; not more than GATHERED entries are at hand unless they differ."""
@@ -216,13 +226,23 @@ class Entries:
         to[own] = own[again]
         return to[head]
 
-    def __iter__(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(bucket, its places, number of the first place with the same entry)"""
-        if not len(self.bucket):
-            return
-        edge = np.flatnonzero(np.concatenate([[True], self.bucket[1:] != self.bucket[:-1]]))
-        for a, b in zip(edge, [*edge[1:], len(self.bucket)], strict=True):
-            yield int(self.bucket[a]), self.places[a:b], self.heads(self.places[a:b])
+    def of(self, low: int, high: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray | None]]:
+        """(bucket, its places, number of the first place with the same entry, rows if they are at hand) of the buckets from low up to high."""
+        at, last = np.searchsorted(self.bucket, [low, high]).tolist()
+        while at < last:
+            # some whole buckets at a time: entries of different ones are never equal
+            end = min(at + GATHERED, last)
+            if end < last:
+                edge = int(np.searchsorted(self.bucket, self.bucket[end]))
+                end = edge if edge > at else int(np.searchsorted(self.bucket, self.bucket[at], side="right"))
+            places = self.places[at:end]
+            rows = self.rows(places) if len(places) <= GATHERED else None
+            head = self.heads(places) if rows is None else firsts(rows)
+            own = self.bucket[at:end]
+            cut = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])).tolist()
+            for a, b in zip(cut, [*cut[1:], len(own)], strict=True):
+                yield int(own[a]), places[a:b], head[a:b] - a, None if rows is None else rows[a:b]
+            at = end
 
 
 def remove_seen(docs: DataFrame, window: int = WINDOW, prints: Callable = byte_prints, hot_blocks: int = HOT_BLOCKS) -> DataFrame:
@@ -256,7 +276,7 @@ def remove_seen(docs: DataFrame, window: int = WINDOW, prints: Callable = byte_p
 
     tied = B.answered(d.mapInArrow(mark, B.QUESTION), ties, "cover", named=True)
     # entries are as many as tied strings in blocks, and more where those have several surroundings
-    buckets = B.buckets_for(spark, tied.agg(F.sum("n")).first()[0] or 0, BUCKET)
+    buckets = PASSES * B.buckets_for(spark, (tied.agg(F.sum("n")).first()[0] or 0) / PASSES, BUCKET)
     ranges = B.edges(buckets)
 
     def sample(raw, begin, answers) -> tuple[Entries, Entries]:
@@ -270,16 +290,19 @@ def remove_seen(docs: DataFrame, window: int = WINDOW, prints: Callable = byte_p
             Entries(raw, begin, places, prints(raw, places, window), ranges, window, 0),
         )
 
-    def ask(batches):
-        for block, answers, table in B.blocks_of(batches):
-            _, raw, begin = read(table.column(1).to_pylist())
-            for k, entries in enumerate(sample(raw, begin, answers.get(COVERED, {}))):
-                rows = []
-                for bucket, places, head in entries:
-                    heads = places[head == np.arange(len(head))]
-                    rows.append((bucket + k * buckets, block, B.squeeze(entries.rows(heads))))
-                if rows:
-                    yield B.question_batch(rows)
+    def ask(share):
+        def one(batches):
+            for block, answers, table in B.blocks_of(batches):
+                _, raw, begin = read(table.column(1).to_pylist())
+                for k, entries in enumerate(sample(raw, begin, answers.get(COVERED, {}))):
+                    rows = []
+                    for bucket, places, head, at_hand in entries.of(share * buckets // PASSES, (share + 1) * buckets // PASSES):
+                        own = head == np.arange(len(head))
+                        rows.append((bucket + k * buckets, block, B.squeeze(entries.rows(places[own]) if at_hand is None else at_hand[own])))
+                    if rows:
+                        yield B.question_batch(rows)
+
+        return one
 
     def decide(batches):
         width = window + slack + 2
@@ -292,6 +315,7 @@ def remove_seen(docs: DataFrame, window: int = WINDOW, prints: Callable = byte_p
                 bits = seen_earlier(np.concatenate(tables), depth, slack)
                 out = [(block, current, int(np.count_nonzero(x)), B.squeeze(x)) for (block, _), x in zip(plain, np.split(bits, np.cumsum([len(t) for t in tables])[:-1]), strict=True)]
                 plain.clear()
+                pa.default_memory_pool().release_unused()
                 if out := [x for x in out if x[2]]:
                     yield B.answer_batch(out)
 
@@ -316,13 +340,13 @@ def remove_seen(docs: DataFrame, window: int = WINDOW, prints: Callable = byte_p
         gone = np.zeros(len(raw), dtype=bool)
         for k, entries in enumerate(sample(raw, begin, answers.get(COVERED, {}))):
             verdict = answers.get(SEEN, {})
-            for bucket, places, head in entries:
+            for bucket, places, head, at_hand in entries.of(0, buckets):
                 own = head == np.arange(len(head))
                 bits = np.zeros(len(places), dtype=np.uint64)
                 if bucket + k * buckets in verdict:
                     bits[own] = B.unsqueeze(verdict[bucket + k * buckets][0], np.uint64)
                 if not own.all():  # an entry again, in the same block
-                    bits[~own] = shifts(entries.rows(places[~own]), entries.slack)
+                    bits[~own] = shifts(entries.rows(places[~own]) if at_hand is None else at_hand[~own], entries.slack)
                 some = np.bitwise_or.reduce(bits) if len(bits) else 0
                 for shift in range(entries.slack + 1):
                     if int(some) >> shift & 1:
@@ -348,6 +372,7 @@ def remove_seen(docs: DataFrame, window: int = WINDOW, prints: Callable = byte_p
             columns = [pa.array([len(x) for x in raws], pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(shas, pa.string())]
             yield pa.RecordBatch.from_arrays([ids, *columns], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    asked = B.together(d, of, (COVERED, tied)).mapInArrow(ask, B.QUESTION)
-    verdict = B.stored(B.dealt(asked).mapInArrow(decide, B.ANSWER), "suffixes")
+    texts = B.together(d, of, (COVERED, tied))
+    passes = [B.stored(B.dealt(texts.mapInArrow(ask(k), B.QUESTION)).mapInArrow(decide, B.ANSWER), "suffixes") for k in range(PASSES)]
+    verdict = reduce(DataFrame.unionByName, passes)
     return B.together(d, of, (COVERED, tied), (SEEN, verdict)).mapInArrow(remove, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
