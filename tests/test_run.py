@@ -47,6 +47,17 @@ def test_csv(spark, tmp_path):
     assert [tuple(r) for r in back] == [('a "q", b', 1.5, None), ("line\nbreak ", None, None), (None, 2.0, "True")]
 
 
+def test_types_and_folders(spark, tmp_path):
+    rows = [(i, f"n{i}", str(i * 3), "1.5" if i % 2 else "NA", "true", "007", None) for i in range(50)]
+    df = spark.createDataFrame(rows, "row_id long, name string, a string, b string, c string, d string, e string").repartition(3)
+    path = io.write_csv(df, f"{tmp_path}/folder", single=False)
+    assert len(list(Path(path).glob("part-*"))) >= 1
+    back = io.read_csv(spark, path, infer=True, line_breaks=False)
+    assert dict(back.dtypes) == {"name": "string", "a": "bigint", "b": "double", "c": "boolean", "d": "string", "e": "string", "row_id": "bigint"}
+    assert sorted((r["name"], r.a, r.b, r.c) for r in back.collect()) == sorted((r[1], int(r[2]), 1.5 if r[3] != "NA" else None, True) for r in rows)
+    assert io.inferred(spark.createDataFrame([(1,)], "x long")).dtypes == [("x", "bigint")]
+
+
 def test_run(spark, tmp_path):
     Path(tmp_path, "packs").mkdir()
     Path(tmp_path, "packs", "patterns_cr.txt").write_text("# chains\n\\bretion\\b\n", encoding="utf-8")
@@ -55,7 +66,7 @@ def test_run(spark, tmp_path):
     io.write_csv(Q.places(spark, DATA), f"{tmp_path}/raw.csv")
     settings = config.load(f"{tmp_path}/config.yaml")
     assert settings.country == "cr"
-    metrics = run_pipeline(spark, settings, modules=(1, 99, 2, 3, 4, 5, 6), items=["retion", "zzzz"])
+    metrics = run_pipeline(spark, settings, modules=(1, 99, 2, 3, 4, 5, 6), items=["retion", "zzzz"], prune=False)
     assert len(metrics) == 6
     for before, after in zip(metrics, metrics[1:], strict=False):
         assert before.remaining_count == after.remaining_count + after.dropped_count
