@@ -22,6 +22,8 @@ ARROW_BYTES = "16m"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: A driver-made lookup of at most so many bytes (pickled) is broadcast, a larger one is joined by shuffle.
 BROADCAST_BYTES = 16 << 20
+#: A stored table of at most so many bytes (compressed) is broadcast whole by spread_join().
+SIDE_BYTES = 4 << 20
 #: A key with more than 1 / HOT of all rows is joined by broadcast: there are at most HOT of them.
 HOT = 20_000
 #: Paths of the tables that this process wrote, oldest first: see drop_tables().
@@ -98,17 +100,19 @@ def lookup(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     return F.broadcast(df) if len(pickle.dumps(rows)) <= BROADCAST_BYTES else df
 
 
-def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], rows: str, total: int) -> DataFrame:
+def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], rows: str, total: int, alike: bool = False) -> DataFrame:
     """left with right's columns by keys (nulls are equal), unmatched rows with nulls; no task gets all rows of a hot key.
 
-    right: one row for each key, with how many rows of left have it (column rows, left out of
-    the result). Keys of more than total / HOT rows, at most HOT of them, are broadcast; their
-    rows stay where they are. The other keys are joined by shuffle.
+    right: a stored table, one row for each key, with how many rows of left have it (column
+    rows, left out of the result). If its files are small, it is broadcast and left stays where
+    it is. Else keys of more than total / HOT rows, at most HOT of them, are broadcast, and the
+    other keys are joined by shuffle.
     """
     limit = max(total // HOT, 1)
     names = {k: f"_key_{k}" for k in keys}
     small = right.withColumnsRenamed(names)
     extra = [c for c in right.columns if c not in (*keys, rows)]
+    size = int(str(right._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
     def on(a: DataFrame, b: DataFrame) -> Column:
         found = F.lit(True)
@@ -116,13 +120,15 @@ def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], rows: st
             found = found & a[k].eqNullSafe(b[own])
         return found
 
+    if size <= SIDE_BYTES and not alike:
+        return left.join(F.broadcast(small.drop(rows)), on(left, small), "left").select(*left.columns, *extra)
     hot = small.where(F.col(rows) > limit).drop(rows).withColumnsRenamed({c: f"_hot_{c}" for c in extra}).withColumn("_hot", F.lit(True))
     marked = left.join(F.broadcast(hot), on(left, hot), "left").drop(*names.values())
     cold = small.where(F.col(rows) <= limit).drop(rows).withColumnsRenamed({c: f"_cold_{c}" for c in extra})
     # rows of hot keys look for a key that isn't there, each for one of many
     salt = F.when(F.col("_hot"), F.pmod(F.monotonically_increasing_id(), F.lit(1 << 20)) + 1).otherwise(F.lit(0))
     marked, cold = marked.withColumn("_salt", salt), cold.withColumn("_no_salt", F.lit(0).cast("long"))
-    found = marked.join(cold, on(marked, cold) & (F.col("_salt") == F.col("_no_salt")), "left")
+    found = marked.join(cold.hint("merge") if alike else cold, on(marked, cold) & (F.col("_salt") == F.col("_no_salt")), "left")
     return found.select(*left.columns, *[F.coalesce(f"_hot_{c}", f"_cold_{c}").alias(c) for c in extra])
 
 

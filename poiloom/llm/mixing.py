@@ -101,7 +101,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     sized = keyed.select(F.col(own["doc_id"]).alias("doc_id"), F.col(own["source"]).alias("source"), n_words(F.col(own["text"])).alias("size"), "_k1", "_k2")
     rows = F.count(F.lit(1))
     copies = stored(mix(stored(sized, "mix-rows"), order=("doc_id", "_k1", "_k2")).groupBy("_k1", "_k2").agg(F.sum("copies").alias("_copies"), rows.alias("_rows"), rows.alias("_times")), "mix-copies")
-    found = spread_join(keyed, copies.where("_copies > 0"), ["_k1", "_k2"], "_rows", copies.agg(F.sum("_rows")).first()[0] or 0).where("_copies > 0")
+    found = spread_join(keyed, copies, ["_k1", "_k2"], "_rows", copies.agg(F.sum("_rows")).first()[0] or 0).where("_copies > 0")
     single = found.where("_times = 1")
     # equal rows: the first that comes is as good as any
     kept = [F.first(v).alias(v) for v in own.values()]

@@ -307,6 +307,7 @@ def revisits(pages: DataFrame, least_bytes: int) -> DataFrame:
     own = stored(pages.where(F.col("n") >= least_bytes).groupBy("page_id", "sha1").agg(F.count(F.lit(1)).alias("rows")), "payloads")
     # only payloads that more than one page has: the table joined below is small where copies are few
     first = own.groupBy("sha1").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("copies")).where("copies > 1 and refers_to is not null")
+    first = stored(first, "first-pages")
     found = spread_join(own, first, ["sha1"], "copies", own.count())
     return found.where("refers_to is not null").where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select("page_id", "sha1", "refers_to", "rows")
 

@@ -267,7 +267,7 @@ def test_package_of_another_writer(method):
     assert {u: (r["payload_bytes"], r["payload_digest"], r["record_type"], r["page_id"][:9]) for u, r in got.items()} == {u: (len(b), A.digest(b), "response", "<urn:uuid") for u, b in bodies.items()}
 
 
-def test_hot_keys_join(spark):
+def test_hot_keys_join(spark, monkeypatch):
     from poiloom.llm import common
 
     rows = [(None if i % 3 == 0 else i % 7, i) for i in range(500)]
@@ -276,6 +276,8 @@ def test_hot_keys_join(spark):
     for k, _ in rows:
         sums[k] = sums.get(k, 0) + 1
     right = spark.createDataFrame([(k, n, f"of {k}") for k, n in sums.items() if k != 2], "k long, n long, name string")
-    for total in (0, 500, 500 * common.HOT, 100 * common.HOT):
+    right = common.stored(right, "test")
+    for side, total in ((0, 0), (0, 500), (0, 500 * common.HOT), (0, 100 * common.HOT), (1 << 20, 500)):
+        monkeypatch.setattr(common, "SIDE_BYTES", side)
         got = common.spread_join(left, right, ["k"], "n", total).collect()
         assert sorted((str(r.k), r.v, str(r["name"])) for r in got) == sorted((str(k), v, "None" if k == 2 else f"of {k}") for k, v in rows)
