@@ -100,7 +100,7 @@ def lookup(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     return F.broadcast(df) if len(pickle.dumps(rows)) <= BROADCAST_BYTES else df
 
 
-def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], rows: str, total: int, alike: bool = False) -> DataFrame:
+def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], rows: str, total: int) -> DataFrame:
     """left with right's columns by keys (nulls are equal), unmatched rows with nulls; no task gets all rows of a hot key.
 
     right: a stored table, one row for each key, with how many rows of left have it (column
@@ -120,7 +120,7 @@ def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], rows: st
             found = found & a[k].eqNullSafe(b[own])
         return found
 
-    if size <= SIDE_BYTES and not alike:
+    if size <= SIDE_BYTES:
         return left.join(F.broadcast(small.drop(rows)), on(left, small), "left").select(*left.columns, *extra)
     hot = small.where(F.col(rows) > limit).drop(rows).withColumnsRenamed({c: f"_hot_{c}" for c in extra}).withColumn("_hot", F.lit(True))
     marked = left.join(F.broadcast(hot), on(left, hot), "left").drop(*names.values())
@@ -128,7 +128,7 @@ def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], rows: st
     # rows of hot keys look for a key that isn't there, each for one of many
     salt = F.when(F.col("_hot"), F.pmod(F.monotonically_increasing_id(), F.lit(1 << 20)) + 1).otherwise(F.lit(0))
     marked, cold = marked.withColumn("_salt", salt), cold.withColumn("_no_salt", F.lit(0).cast("long"))
-    found = marked.join(cold.hint("merge") if alike else cold, on(marked, cold) & (F.col("_salt") == F.col("_no_salt")), "left")
+    found = marked.join(cold, on(marked, cold) & (F.col("_salt") == F.col("_no_salt")), "left")
     return found.select(*left.columns, *[F.coalesce(f"_hot_{c}", f"_cold_{c}").alias(c) for c in extra])
 
 

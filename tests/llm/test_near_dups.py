@@ -149,7 +149,11 @@ def test_weighted_likeness():
     assert N.likeness(N.bag(""), N.bag(None)) == 1.0 and N.likeness(N.bag("a"), N.bag("")) == 0.0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("local", [0, 1 << 18])
+def test_components(spark, monkeypatch, local):
+    from poiloom.llm import components as C
+
+    monkeypatch.setattr(C, "LOCAL_EDGES", local)
     rng = random.Random(8)
     edges = [(rng.randint(0, 80), rng.randint(0, 80)) for _ in range(50)] + [(i, i + 1) for i in range(200, 260)] + [(5, 5)]
     root: dict = {}
@@ -164,8 +168,11 @@ def test_components(spark):
         if a != b:
             p, q = sorted((find(a), find(b)))
             root[q] = p
-    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    df = spark.createDataFrame(edges, "u long, v long")
+    got = {r.node: r.root for r in components(df).collect()}
     assert got == {k: find(k) for k in root}
+    pairs = df.selectExpr("struct(concat('n', lpad(u, 4, '0')) as id, u as h) as u", "struct(concat('n', lpad(v, 4, '0')) as id, v as h) as v")
+    assert {r.node.h: r.root.h for r in components(pairs).collect()} == got
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
