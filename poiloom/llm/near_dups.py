@@ -242,7 +242,7 @@ def band_members(own: DataFrame) -> DataFrame:
     companions = shared.groupBy("node").agg(F.sum("n").alias("companions"))
     most = F.min(F.struct((-F.col("companions")).alias("c"), "node"))["node"]
     lead = shared.join(companions, "node").groupBy("key").agg(F.min("node").alias("a"), most.alias("b"), F.count(F.lit(1)).alias("rows"))
-    return stored(spread_join(shared, lead, ["key"], "rows", total), "members")
+    return stored(spread_join(shared, stored(lead, "leaders"), ["key"], "rows", total), "members")
 
 
 def untried_pairs(docs: DataFrame, members: DataFrame, classes: DataFrame, alike: float) -> DataFrame:
