@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from poiloom.functions.geo import cell, cells_around, haversine
-from poiloom.sources.tables import materialized
+from poiloom.sources.tables import by_shuffle, materialized
 
 #: A tile is so many radii wide.
 TILE = 50
@@ -20,7 +20,7 @@ def radius_pairs(points: DataFrame, radius_m: float, same: str | None = None, or
 
     points: order, latitude, longitude, same and carry. Every point lies in one grid cell, and
     its partner looks for it in the cells around, so the join is one on equal cells (and
-    names). Of each column c in carry the pairs have c_i and c_j.
+    names). The looking side has up to nine rows for each point, so no side is broadcast. Of each column c in carry the pairs have c_i and c_j.
     """
     names = [] if same is None else [same]
     lat, lon = F.col("latitude"), F.col("longitude")
@@ -32,7 +32,7 @@ def radius_pairs(points: DataFrame, radius_m: float, same: str | None = None, or
     on = (F.col("cell_i.band") == F.col("cell_j.band")) & (F.col("cell_i.column") == F.col("cell_j.column"))
     if same is not None:
         on = on & F.col("same_i").eqNullSafe(F.col("same_j"))
-    pairs = left.join(right, on).where("i < j").withColumn("distance", haversine(F.col("lat_i"), F.col("lon_i"), F.col("lat_j"), F.col("lon_j")))
+    pairs = left.join(by_shuffle(right), on).where("i < j").withColumn("distance", haversine(F.col("lat_i"), F.col("lon_i"), F.col("lat_j"), F.col("lon_j")))
     return pairs.where(F.col("distance") <= radius_m).select("i", "j", "distance", *(["same_i"] if same is not None else []), *[f"{c}_{k}" for c in carry for k in "ij"])
 
 

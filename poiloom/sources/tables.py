@@ -19,6 +19,15 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """df as a side of a join by sorting, never broadcast: for sides that grow with the input.
+
+    Spark takes a side for as large as its files, which are small beside their rows (compressed,
+    and a row may be exploded into many), so it may send more than fits through the driver.
+    """
+    return df.hint("merge")
+
+
 def materialized(df: DataFrame, what: str) -> DataFrame:
     """df written to the shared folder and read again, which cuts its lineage."""
     path = f"{shared_dir(df.sparkSession)}/poiloom/{what}-{uuid.uuid4().hex}"

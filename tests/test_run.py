@@ -119,3 +119,11 @@ def test_entry():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_pairs_are_joined_by_shuffle(spark):
+    """However small the files look, the points and their cells aren't sent through the driver."""
+    df = Q.token_set_similarity(spark, DATA)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+    assert df.count() > 0
