@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from poiloom.sources.tables import by_shuffle
+
 
 def require(df: DataFrame, *columns: str) -> None:
     missing = [c for c in columns if c not in df.columns]
@@ -29,7 +31,7 @@ def deduplicate(df: DataFrame, subset: Sequence[str], keep: str = "first", order
     groups = df.groupBy(*subset).agg(pick.alias("_kept"), F.count(F.lit(1)).alias("_n"))
     if keep == "none":
         groups = groups.where("_n = 1")
-    return df.join(groups.select(F.col("_kept").alias(order)), order, "left_semi").select(*df.columns)
+    return df.join(by_shuffle(groups.select(F.col("_kept").alias(order))), order, "left_semi").select(*df.columns)
 
 
 def exact_drops(before: DataFrame, after: DataFrame, order: str = "row_id") -> DataFrame:

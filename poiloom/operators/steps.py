@@ -16,6 +16,7 @@ from poiloom.functions.hours import DAYS, night_only, weekly_hours
 from poiloom.operators.dedup import deduplicate, require, with_group_count
 from poiloom.operators.spatial import radius_pairs, suppressed, tile
 from poiloom.sources.packs import GLOBAL_KEYWORDS, KEEP_WORDS
+from poiloom.sources.tables import by_shuffle, materialized
 
 
 @dataclass(frozen=True)
@@ -53,7 +54,7 @@ def normalize_and_dedup(df: DataFrame, keep: str = "first", exact: bool = True)
     named = normalize_names(df, exact)
     require(named, "name_normalized", "latitude", "longitude")
     kept = deduplicate(named, ["name_normalized", "latitude", "longitude"], keep).select("row_id", F.lit(True).alias("_kept"))
-    marked = named.join(kept, "row_id", "left")
+    marked = named.join(by_shuffle(kept), "row_id", "left")
     return StepResult(marked.select(*named.columns, F.when(F.col("_kept").isNull(), F.lit("Exact_Duplicate")).alias("drop_reason")), "name_normalized")
 
 
@@ -94,13 +95,13 @@ def geo_dedup(df: DataFrame, radius_m: float = 50, scope: str = "name") -> StepR
     if scope == "cluster":
         tiles = pairs.select("i", "j", tile(F.col("latitude_j"), F.col("longitude_j"), radius_m).alias("tile_j"))
         # of a place all rows but the first are suppressed: by it, or by what suppresses it
-        others = points.join(heads.select("row_id"), "row_id", "left_anti").select("dataplor_id")
-        gone = points.join(suppressed(tiles).withColumnRenamed("id", "row_id"), "row_id", "left_semi").select("dataplor_id").unionByName(others)
+        others = points.join(by_shuffle(heads.select("row_id")), "row_id", "left_anti").select("dataplor_id")
+        gone = points.join(by_shuffle(suppressed(tiles).withColumnRenamed("id", "row_id")), "row_id", "left_semi").select("dataplor_id").unionByName(others)
     elif scope == "name":
         near = heads.where("_rows > 1").select("row_id").unionByName(pairs.select(F.explode(F.array("i", "j")).alias("row_id"))).distinct()
-        near = heads.join(near, "row_id", "left_semi").select(*[F.col(c).alias(f"_near{c}") for c in place])
+        near = heads.join(by_shuffle(near), "row_id", "left_semi").select(*[F.col(c).alias(f"_near{c}") for c in place])
         same = F.col("_name").eqNullSafe(F.col("_near_name")) & (F.col("latitude") == F.col("_nearlatitude")) & (F.col("longitude") == F.col("_nearlongitude"))
-        ids = points.join(near, same, "left_semi").groupBy("_name", "dataplor_id").agg(F.min("row_id").alias("_first"))
+        ids = points.join(by_shuffle(near), same, "left_semi").groupBy("_name", "dataplor_id").agg(F.min("row_id").alias("_first"))
         # of each name its earliest row, by one more aggregate instead of a window over hot names
         first = ids.groupBy("_name").agg(F.min("_first").alias("_lead"))
         gone = ids.join(first, ids["_name"].eqNullSafe(first["_name"])).where("_first > _lead").select("dataplor_id")
@@ -134,8 +135,6 @@ def fuzzy_edges(points: DataFrame, dist_m: float = 100, thresh: float = 80) -> D
 def hours_and_fuzzy(df: DataFrame, min_hours: float = 20, night_start: float = 19, fuzzy_thresh: float = 80, dist_m: float = 100, keywords: Sequence[str] = GLOBAL_KEYWORDS) -> StepResult:
     """Global keywords, opening hours, then places near an earlier kept one with a like name."""
     require(df, "name", "latitude", "longitude", *[f"{d}_hours" for d in DAYS])
-    from poiloom.sources.tables import materialized
-
     first = reasons((global_keyword(keywords=keywords), "1_Global_Keywords"), (hours_failed(min_hours, night_start), "2_Hours_Filter"))
     judged = materialized(df.withColumn("drop_reason", first), "hours")
     name = T.keyword_name(F.col("name"))
@@ -143,9 +142,9 @@ def hours_and_fuzzy(df: DataFrame, min_hours: float = 20, night_start: float = 1
     # rows of equal name and place: what the first of them suppresses or is suppressed by holds for all,
     # so the others go (unless the name has no word, which is like nothing) and no pairs of copies are formed
     heads = points.groupBy("_name", "latitude", "longitude").agg(F.min("row_id").alias("row_id"))
-    copies = points.where(F.length(F.regexp_replace("_name", T.BLANKS, "")) > 0).join(heads.select("row_id"), "row_id", "left_anti").select("row_id")
+    copies = points.where(F.length(F.regexp_replace("_name", T.BLANKS, "")) > 0).join(by_shuffle(heads.select("row_id")), "row_id", "left_anti").select("row_id")
     gone = suppressed(fuzzy_edges(heads, dist_m, fuzzy_thresh)).select(F.col("id").alias("row_id")).unionByName(copies).withColumn("_gone", F.lit(True))
-    marked = judged.join(gone, "row_id", "left")
+    marked = judged.join(by_shuffle(gone), "row_id", "left")
     return StepResult(marked.select(*df.columns, F.coalesce("drop_reason", F.when(F.col("_gone").isNotNull(), F.lit("3_Fuzzy_Dedup"))).alias("drop_reason")))
 
 

@@ -170,3 +170,15 @@ def test_empty_tables(spark):
     named = S.normalize_and_dedup(df).kept
     for r in (S.remove_chains(named, ["a"]), S.geo_dedup(named), S.hours_and_fuzzy(named), S.final_keywords(named, ["a"]), S.crowded_property(named)):
         assert r.kept.count() == 0
+
+
+def test_rows_are_joined_by_shuffle(spark):
+    """However small the files look, sides with a row for each place aren't sent through the driver."""
+    df = points(spark, [("Sol", 1.0, 1.0, "x"), ("sol ", 1.0, 1.0, "y"), ("Sol", 2.0, 1.0, "z")])
+    first = S.normalize_and_dedup(df)
+    alike = S.fuzzy_edges(df.withColumnRenamed("name", "_name"))
+    # the last join of the step; what it wrote before is read here
+    judged = S.hours_and_fuzzy(df.withColumns({f"{d}_hours": F.lit("09:00-18:00") for d in DAYS}))
+    for x in (D.deduplicate(df, ["name"]), D.deduplicate(df, ["name"], "none"), first.rows, alike, judged.rows):
+        assert "Broadcast" not in x._jdf.queryExecution().executedPlan().toString()
+    assert ids(first.kept) == [0, 2] and ids(judged.dropped) == [1]
